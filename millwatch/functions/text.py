@@ -21,7 +21,7 @@ def numbered_id(prefix: str, number: Column, digits: int) -> Column:
 
 def choose(options: tuple[str, ...], position: Column) -> Column:
     """The option at a 1-based position; NULL outside instead of an error."""
-    return F.try_element_at(F.array(*map(F.lit, options)), position.cast("int"))
+    return F.get(F.array(*map(F.lit, options)), position.cast("int") - 1)
 
 
 def payload_struct(df: DataFrame) -> Column:

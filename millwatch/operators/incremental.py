@@ -28,11 +28,11 @@ def refreshed_gold(gold: DataFrame, silver: DataFrame, touched: DataFrame) -> Da
     return kept.unionByName(recomputed_gold(silver, touched))
 
 
-def vanished_days(touched: DataFrame, recomputed: DataFrame) -> DataFrame:
-    """Touched plant-days without any machine-day left, to be dropped.
+def vanished_days(touched: DataFrame, remaining: DataFrame) -> DataFrame:
+    """Touched plant-days without any row left in silver or gold, to be dropped.
 
     Overwriting only the touched partitions never empties one.
     """
-    left = recomputed.select(*schemas.PLANT_DAY).distinct()
+    left = remaining.select(*schemas.PLANT_DAY).distinct()
     gone = touched.join(left, list(schemas.PLANT_DAY), "left_anti")
     return gone.select("plant_id", F.col("event_date").cast("string").alias("event_date"))

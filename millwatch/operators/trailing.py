@@ -77,9 +77,13 @@ def _both_sides(
     covers the own rows up to a position and ``after`` the moved rows from it.
     ``with_peers`` says whether the position itself belongs to both.
     """
-    own = rows.withColumn("__own", F.lit(True))
-    moved = rows.withColumns({position: F.col(position) + F.lit(span), "__own": F.lit(False)})
-    both = own.unionByName(moved).withColumn("__group", group)
+    shifts = F.array(F.lit(0).cast("bigint"), F.lit(span).cast("bigint"))
+    both = (
+        rows.withColumn("__shift", F.explode(shifts))
+        .withColumns({position: F.col(position) + F.col("__shift"), "__own": F.col("__shift") == 0})
+        .withColumn("__group", group)
+        .drop("__shift")
+    )
     frame = (Window.unboundedPreceding, Window.currentRow if with_peers else -1)
     grouped = Window.partitionBy(*KEY, "__group")
     up = grouped.orderBy(position).rangeBetween(*frame)

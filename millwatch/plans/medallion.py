@@ -64,12 +64,8 @@ def refresh_gold(spark: SparkSession, silver: DataFrame, touched: DataFrame, tab
     partitions leaves it alone. Only names of such days reach the driver.
     """
     fresh = incremental.recomputed_gold(silver, touched)
-    columns = spark.read.table(table).columns
-    keys = list(schemas.PLANT_DAY)
-    ordered = sinks.rebalanced(fresh.select(*columns), keys)
-    ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-    days = silver.select(*keys).distinct()
-    gone = incremental.vanished_days(touched, days)
+    sinks.write_partitioned(fresh, table, only_touched=True)
+    gone = incremental.vanished_days(touched, silver)
     sinks.drop_partitions(spark, table, [row.asDict() for row in gone.toLocalIterator()])
     return spark.read.table(table)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +31,41 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     _save(df.write.format(fmt).mode("overwrite"), target)
 
 
-def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rebalanced(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of one key together, but a hot key over as many tasks as it needs.
 
     The rebalance hint lets adaptive execution split large partitions and merge
-    small ones, so a third of all rows in one partition is no single task.
+    small ones, so a third of all rows in one partition is no single task. With
+    no keys it only evens out file sizes.
     """
     return df.hint("rebalance", *[F.col(key) for key in keys])
 
 
+@contextmanager
+def _touched_partitions_only(spark: SparkSession) -> Iterator[None]:
+    """Catalog inserts take the overwrite mode from the session, not the writer."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(mode, before)
+
+
+def overwrite_touched(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions that ``df`` holds and leave all others alone."""
+    spark = df.sparkSession
+    if _is_path(target):
+        writer = df.write.format(fmt).mode("overwrite").partitionBy(*keys)
+        writer.option("partitionOverwriteMode", "dynamic").save(target)
+    elif spark.catalog.tableExists(target):
+        with _touched_partitions_only(spark):
+            df.select(*spark.read.table(target).columns).write.insertInto(target, overwrite=True)
+    else:
+        df.write.format(fmt).partitionBy(*keys).saveAsTable(target)
+
+
 def write_partitioned(
     df: DataFrame,
     target: str,
@@ -48,24 +75,24 @@ def write_partitioned(
     replace_schema: bool = False,
 ) -> None:
     """Overwrite a partitioned table, or only the partitions that ``df`` holds."""
-    writer = rebalanced(df, keys).write.format(fmt).mode("overwrite").partitionBy(*keys)
+    rows = rebalanced(df, keys)
     if only_touched:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        overwrite_touched(rows, target, keys, fmt)
+        return
+    writer = rows.write.format(fmt).mode("overwrite").partitionBy(*keys)
+    writer = writer.option("partitionOverwriteMode", "static")
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", True)
     _save(writer, target)
 
 
 def write_run(df: DataFrame, target: str, run_id: str, fmt: str = "parquet") -> None:
-    """Append the rows of one run; the same run again replaces only its own rows."""
-    tagged = df.withColumn("run_id", F.lit(run_id))
-    writer = tagged.write.format(fmt).partitionBy("run_id")
-    if _is_path(target) or not df.sparkSession.catalog.tableExists(target):
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        _save(writer, target)
-        return
-    by_name = tagged.select(*df.sparkSession.read.table(target).columns)
-    by_name.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    """Append the rows of one run; the same run again replaces only its own rows.
+
+    A run without rows replaces nothing, so a repeated run must see the input it
+    saw before, as a scheduled retry does.
+    """
+    overwrite_touched(rebalanced(df.withColumn("run_id", F.lit(run_id))), target, ["run_id"], fmt)
 
 
 def write_quarantine(rejected: DataFrame, target: str, run_id: str, fmt: str = "parquet") -> None:

@@ -42,7 +42,7 @@ def stream_silver(
         try:
             silver = silver_from_bronze(rows, limits)
             _write_batch(rebalanced(silver, schemas.PLANT_DAY), silver_path, schemas.PLANT_DAY)
-            _write_batch(quarantine_all(rows, limits), quarantine_path, ())
+            _write_batch(rebalanced(quarantine_all(rows, limits)), quarantine_path, ())
         finally:
             rows.unpersist()
 
