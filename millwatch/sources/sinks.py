@@ -80,7 +80,9 @@ def write_partitioned(
         overwrite_touched(rows, target, keys, fmt)
         return
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*keys)
-    writer = writer.option("partitionOverwriteMode", "static")
+    if _is_path(target):
+        # not for a catalog table: it would keep the option for later inserts
+        writer = writer.option("partitionOverwriteMode", "static")
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", True)
     _save(writer, target)
