@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -89,12 +90,23 @@ def write_partitioned(
 
 
 def write_run(df: DataFrame, target: str, run_id: str, fmt: str = "parquet") -> None:
-    """Append the rows of one run; the same run again replaces only its own rows.
-
-    A run without rows replaces nothing, so a repeated run must see the input it
-    saw before, as a scheduled retry does.
-    """
-    overwrite_touched(rebalanced(df.withColumn("run_id", F.lit(run_id))), target, ["run_id"], fmt)
+    """Append the rows of one run; the same run again replaces its own rows, also
+    when it has none any more."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"not usable as a run id: {run_id!r}")
+    rows = rebalanced(df)
+    if _is_path(target):
+        rows.write.format(fmt).mode("overwrite").save(f"{target}/run_id={run_id}")
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        empty = df.withColumn("run_id", F.lit(run_id)).limit(0)
+        empty.write.format(fmt).partitionBy("run_id").saveAsTable(target)
+    columns = [c for c in spark.read.table(target).columns if c != "run_id"]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION (run_id = '{run_id}') SELECT * FROM {{rows}}",
+        rows=rows.select(*columns),
+    )
 
 
 def write_quarantine(rejected: DataFrame, target: str, run_id: str, fmt: str = "parquet") -> None:

@@ -66,6 +66,11 @@ def test_quarantine_is_stored_once_per_run(spark, bronze, tmp_path):
             sinks.write_quarantine(rejected, target, run_id)
         stored = sinks.read_target(spark, target).groupBy("run_id").count().collect()
         assert {(r.run_id, r["count"]) for r in stored} == {("a", 2), ("b", 2)}
+        sinks.write_quarantine(rejected.limit(0), target, "a")
+        left = sinks.read_target(spark, target, schema=rejected.schema.add("run_id", "string"))
+        assert {r.run_id for r in left.collect()} == {"b"}
+    with pytest.raises(ValueError, match="run id"):
+        sinks.write_quarantine(rejected, str(tmp_path / "q"), "../a")
 
 
 def test_quarantine_errors_are_raised(spark, bronze, tmp_path):

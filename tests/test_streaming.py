@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import json
+import os
+from datetime import timedelta
+
+import pytest
+from conftest import START, at
+from pyspark.sql import functions as F
+
+from millwatch.operators import gold, quality, sessions, trailing
+from millwatch.operators.bronze import to_bronze
+from millwatch.operators.silver import silver_from_bronze
+from millwatch.sources import sinks, telemetry
+from millwatch.streaming import risk
+from millwatch.streaming import silver as streaming
+
+LOAD_TIMES = ("_ingested_at", "_silver_loaded_at", "_gold_loaded_at", streaming.BATCH)
+
+
+class Landing:
+    """A folder of JSON files, read as a batch or as a stream."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.files = spark, folder, 0
+        folder.mkdir()
+
+    def add(self, *rows: dict) -> None:
+        lines = []
+        for row in rows:
+            full = {
+                "machine_id": "M1",
+                "plant_id": "P1",
+                "event_timestamp": at(),
+                "temperature_celsius": 70.0,
+                "vibration_hz": 50.0,
+                "operational_status": "RUNNING",
+            } | row
+            full["event_timestamp"] = full["event_timestamp"].isoformat()
+            lines.append(json.dumps(full))
+        self.files += 1
+        file = self.folder / f"{self.files:03}.json"
+        file.write_text("\n".join(lines))
+        # files are taken in the order of their time, so keep it unambiguous
+        os.utime(file, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
+
+    def stream(self, max_files: int = 1):
+        return to_bronze(telemetry.stream_telemetry(self.spark, str(self.folder), max_files))
+
+    def batch(self):
+        return to_bronze(telemetry.read_telemetry(self.spark, str(self.folder)))
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    return Landing(spark, tmp_path / "landing")
+
+
+def same(left, right) -> bool:
+    return quality.frame_differences(left.drop(*LOAD_TIMES), right.drop(*LOAD_TIMES)).isEmpty()
+
+
+def mixed_rows(day: int) -> list[dict]:
+    return [
+        {
+            "machine_id": f"M{i % 3}",
+            "event_timestamp": at(day * 1440 + i * 37 % 1440),
+            "temperature_celsius": 60.0 + i,
+            "vibration_hz": 900.0 if i % 7 == 0 else 70.0 + i % 20,
+            "operational_status": "FAULT" if i % 4 == 0 else "RUNNING",
+        }
+        for i in range(40)
+    ]
+
+
+def test_split_equals_batch_after_restart_and_failure(spark, landing, tmp_path, monkeypatch):
+    silver_path, quarantine_path = str(tmp_path / "s"), str(tmp_path / "q")
+
+    def run():
+        started = streaming.stream_silver(
+            landing.stream(), silver_path, quarantine_path, str(tmp_path / "c")
+        )
+        started.awaitTermination()
+
+    landing.add(*mixed_rows(0))
+    write, calls = streaming._write_batch, []
+
+    def failing(rows, target, keys):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("lost between the two writes")
+        write(rows, target, keys)
+
+    monkeypatch.setattr(streaming, "_write_batch", failing)
+    with pytest.raises(Exception, match="lost between"):
+        run()
+    run()
+    landing.add(*mixed_rows(1))
+    landing.add(*mixed_rows(2))
+    run()
+    run()
+    bronze = landing.batch()
+    expected = silver_from_bronze(bronze)
+    assert same(sinks.read_target(spark, silver_path, schema=expected.schema), expected)
+    rejected = quality.quarantine_all(bronze)
+    assert rejected.count() == 18
+    assert same(sinks.read_target(spark, quarantine_path, schema=rejected.schema), rejected)
+
+
+def test_daily_stream_equals_batch_gold(spark, landing, tmp_path):
+    for day in range(3):
+        landing.add(*mixed_rows(day))
+        # the rest of the day comes in a second file, inside the allowed delay
+        landing.add({"machine_id": "M0", "event_timestamp": at(day * 1440 + 1430)})
+    days = risk.daily_risk(silver_from_bronze(landing.stream()), delay="1 hour")
+    path = str(tmp_path / "days")
+    risk.stream_upserts(days, path, str(tmp_path / "c")).awaitTermination()
+    expected = gold.gold_risk(silver_from_bronze(landing.batch()))
+    rounding = {
+        c: F.round(c, 9) for c in ("temp_stddev_24h", "avg_temp_24h", "avg_vibration_24h")
+    }
+    streamed = risk.read_upserts(spark, path).select(*[c for c in expected.columns if c not in LOAD_TIMES])
+    assert same(streamed.withColumns(rounding), expected.withColumns(rounding))
+    top = [(r.machine_id, r.event_date) for r in risk.leaderboard(spark, path, 2).collect()]
+    assert len(top) == 2
+    risk.stream_upserts(days, path, str(tmp_path / "c")).awaitTermination()
+    assert same(risk.read_upserts(spark, path), risk.read_upserts(spark, path))
+
+
+def test_late_readings_stay_in_silver_only(spark, landing, tmp_path):
+    landing.add({"event_timestamp": at(0)}, {"event_timestamp": at(3 * 1440)})
+    # a batch drops what was late when the batch before it started
+    landing.add({"event_timestamp": at(3 * 1440 + 1)})
+    landing.add({"event_timestamp": at(5)})
+    silver_stream = silver_from_bronze(landing.stream())
+    days = risk.daily_risk(silver_stream, delay="1 hour")
+    risk.stream_upserts(days, str(tmp_path / "d"), str(tmp_path / "c1")).awaitTermination()
+    first = risk.read_upserts(spark, str(tmp_path / "d")).orderBy("event_date").first()
+    assert first.total_readings_24h == 1
+    paths = str(tmp_path / "s"), str(tmp_path / "q")
+    streaming.stream_silver(landing.stream(), *paths, str(tmp_path / "c2")).awaitTermination()
+    assert sinks.written_count(spark, paths[0]) == 4
+
+
+def test_sliding_stream_equals_closed_batch_windows(spark, landing, tmp_path):
+    for day in range(2):
+        landing.add(*mixed_rows(day))
+    newest = landing.batch().agg(F.max("event_timestamp")).first()[0]
+    windows = risk.sliding_risk(silver_from_bronze(landing.stream(max_files=10)))
+    streaming.append_stream(windows, str(tmp_path / "w"), str(tmp_path / "c")).awaitTermination()
+    batch = trailing.sliding_risk(silver_from_bronze(landing.batch()))
+    closed = batch.filter(F.col("window_end") <= F.lit(newest - timedelta(hours=1)))
+    averages = {c: F.round(c, 9) for c in ("avg_temp_sliding", "avg_vibration_sliding")}
+    streamed = spark.read.parquet(str(tmp_path / "w"))
+    assert closed.count() > 0
+    assert same(streamed.withColumns(averages), closed.withColumns(averages))
+
+
+def test_session_stream_equals_closed_batch_sessions(spark, landing, tmp_path):
+    landing.add(*mixed_rows(0))
+    landing.add({"event_timestamp": START + timedelta(days=3), "operational_status": "FAULT"})
+    found = risk.fault_sessions(silver_from_bronze(landing.stream(max_files=10)))
+    streaming.append_stream(found, str(tmp_path / "f"), str(tmp_path / "c")).awaitTermination()
+    batch = sessions.fault_sessions(silver_from_bronze(landing.batch()))
+    closed = batch.filter(F.col("session_start") < F.lit(START + timedelta(days=2)))
+    assert same(spark.read.parquet(str(tmp_path / "f")), closed)
+
+
+def test_resends_are_suppressed_across_batches(spark, landing, tmp_path):
+    for _ in range(2):
+        landing.add({}, {"event_timestamp": at(1)}, {"event_timestamp": at(1)}, {"machine_id": None})
+    kept = streaming.dedupe_stream(landing.stream())
+    streaming.append_stream(kept, str(tmp_path / "k"), str(tmp_path / "c")).awaitTermination()
+    assert sinks.written_count(spark, str(tmp_path / "k")) == 3
+
+
+def test_approximate_machines_per_plant(spark, landing, tmp_path):
+    landing.add(*mixed_rows(0))
+    counted = risk.approximate_plant_machines(silver_from_bronze(landing.stream()))
+    risk.stream_upserts(counted, str(tmp_path / "m"), str(tmp_path / "c")).awaitTermination()
+    row = risk.read_upserts(spark, str(tmp_path / "m"), ["plant_id", "event_date"]).first()
+    assert row.machines == 3
+
+
+def test_json_stream_sink_writes_files_per_task(spark, landing, tmp_path):
+    landing.add(*mixed_rows(0))
+    out = str(tmp_path / "json")
+    sinks.stream_json_lines(landing.stream(), out, str(tmp_path / "c")).awaitTermination()
+    assert spark.read.json(out).count() == 40
+    assert len(list((tmp_path / "json").glob("part-*"))) == 1
