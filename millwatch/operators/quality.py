@@ -74,12 +74,12 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key has no parent; a NULL key refers to nothing.
 
-    The distinct child keys are checked first. They collapse before shuffling,
-    so only the keys found missing meet the child rows again.
+    A parent table under Spark's broadcast limit is sent to the child rows, which
+    then stay where they are. Beyond it both sides are shuffled once and adaptive
+    execution splits a hot key.
     """
-    keys = child.select(key).filter(F.col(key).isNotNull()).distinct()
-    missing = keys.join(parent.select(key), key, "left_anti")
-    return child.join(missing, key, "left_semi")
+    referring = child.filter(F.col(key).isNotNull())
+    return referring.join(parent.select(key), key, "left_anti")
 
 
 def as_failures(failing: DataFrame, rule: str | None = None) -> DataFrame:

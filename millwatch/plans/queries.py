@@ -40,6 +40,7 @@ from millwatch.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Query] = {}
 
 LOAD_TIMES = ("_ingested_at", "_silver_loaded_at", "_gold_loaded_at")
 DAY_AVERAGES = ("avg_temp_24h", "temp_stddev_24h", "avg_vibration_24h", "avg_pressure_24h")
@@ -63,11 +64,14 @@ def comparable(df: DataFrame, round_columns: tuple[str, ...] = ()) -> DataFrame:
 
 
 def query(*round_columns: str) -> Callable[[Query], Query]:
+    """Register a query in comparable form, and its plain form as a builder."""
+
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return comparable(build(spark, sf_dir), round_columns)
 
         QUERIES[build.__name__] = run
+        BUILDERS[build.__name__] = build
         return build
 
     return register
