@@ -24,6 +24,12 @@ def choose(options: tuple[str, ...], position: Column) -> Column:
     return F.get(F.array(*map(F.lit, options)), position.cast("int") - 1)
 
 
+def seconds_before(moment: str | Column, seconds: Column) -> Column:
+    """A timestamp moved back by a number of whole seconds."""
+    moment = F.col(moment) if isinstance(moment, str) else moment
+    return moment - seconds.cast("interval second")
+
+
 def payload_struct(df: DataFrame) -> Column:
     """All columns, timestamps as ISO-8601 text and decimals as plain text."""
     fields = []

@@ -301,6 +301,20 @@ ORACLE_SQL: dict[str, str] = {
       CAST(json_extract_string(props, '$.k') AS INT) AS firmware_k FROM events""",
     "drifted_batches_merged": f"""{READINGS} SELECT event_id, machine_id, plant_id,
       CASE WHEN event_type = 'view' THEN value END AS signal FROM readings""",
+    "scalar_functions": f"""SELECT event_id,
+      {_padded("SUPP_", "event_id % 1000 + 1", 3)} AS padded_id,
+      printf('MCH_%04d', event_id % 50 + 1) AS formatted_id,
+      CASE WHEN event_id % 7 BETWEEN 1 AND 5 THEN {_choose(PLANTS, "event_id % 7")} END
+        AS plant_or_null,
+      strftime(ts - to_seconds(event_id * 15), '%Y-%m-%d %H:%M:%S.%f') AS moved_back,
+      strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso_text,
+      strftime(ts, '%Y-%m-%d') AS day, CAST(hour(ts) AS INT) AS hour_of_day,
+      TRY_CAST(event_type AS DOUBLE) AS not_a_number, CAST(event_id AS INT) AS cast_back,
+      CAST(event_type = 'error' AS INT) AS error_as_int,
+      {_round("value", 1)} AS rounded_value,
+      least(value, NULL, CAST(50 AS DOUBLE)) AS at_most_fifty,
+      greatest(value, CAST(1 AS DOUBLE)) AS at_least_one,
+      CASE WHEN value > 10 THEN value - 10 END AS above_ten FROM events""",
     # Silver and gold
     "silver_flags": f"{SILVER} SELECT {SILVER_OUT} FROM silver",
     "partition_pruned": f"""{SILVER} SELECT plant_id, {_date("event_date")}, readings, avg_temp,

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from millwatch import schemas
 from millwatch.functions.measures import rounded
-from millwatch.functions.text import ISO_MICROS
+from millwatch.functions.text import ISO_MICROS, choose, numbered_id, seconds_before
 from millwatch.operators import bronze as bronze_ops
 from millwatch.operators import (
     changes,
@@ -206,6 +206,30 @@ def drifted_batches_merged(spark, sf_dir):
     return bronze_ops.merge_batches(early, late)
 
 
+@query()
+def scalar_functions(spark, sf_dir):
+    """The scalar functions of the model, over all events."""
+    at, value = F.col("event_id"), F.col("value")
+    moment = F.col("ts").cast("timestamp")
+    return sample.events(spark, sf_dir).select(
+        "event_id",
+        numbered_id("SUPP_", at % 1000 + 1, 3).alias("padded_id"),
+        F.format_string("MCH_%04d", at % 50 + 1).alias("formatted_id"),
+        choose(sample.PLANTS, at % 7).alias("plant_or_null"),
+        seconds_before(moment, at * 15).alias("moved_back"),
+        F.date_format(moment, ISO_MICROS).alias("iso_text"),
+        F.to_date(moment).alias("day"),
+        F.hour(moment).alias("hour_of_day"),
+        F.col("event_type").try_cast("double").alias("not_a_number"),
+        at.cast("string").cast("int").alias("cast_back"),
+        (F.col("event_type") == "error").cast("int").alias("error_as_int"),
+        rounded(value, 1).alias("rounded_value"),
+        F.least(value, F.lit(None).cast("double"), F.lit(50.0)).alias("at_most_fifty"),
+        F.greatest(value, F.lit(1.0)).alias("at_least_one"),
+        F.when(value > 10, value - 10).alias("above_ten"),
+    )
+
+
 # Silver and gold
 
 
