@@ -90,9 +90,9 @@ def _both_sides(
     down = grouped.orderBy(F.desc(position)).rangeBetween(*frame)
     totals = {}
     for name in SUMS + PEAKS:
-        total = F.sum if name in SUMS else F.max
-        totals[f"before_{name}"] = total(F.when(F.col("__own"), F.col(name))).over(up)
-        totals[f"after_{name}"] = total(F.when(~F.col("__own"), F.col(name))).over(down)
+        total = "sum" if name in SUMS else "max"
+        totals[f"before_{name}"] = F.expr(f"{total}(if(__own, {name}, NULL))").over(up)
+        totals[f"after_{name}"] = F.expr(f"{total}(if(__own, NULL, {name}))").over(down)
     return both.withColumns(totals).filter("__own").drop("__own", "__group", *SUMS, *PEAKS)
 
 
@@ -100,12 +100,9 @@ def _combined(sides: list[str]) -> dict[str, Column]:
     """Merge the named parts; an empty part is NULL and adds nothing."""
     merged = {}
     for name in SUMS:
-        total = F.lit(0)
-        for side in sides:
-            total = total + F.coalesce(F.col(f"{side}_{name}"), F.lit(0))
-        merged[name] = total
+        merged[name] = F.expr(" + ".join(f"coalesce({side}_{name}, 0)" for side in sides))
     for name in PEAKS:
-        merged[name] = F.greatest(*[F.col(f"{side}_{name}") for side in sides])
+        merged[name] = F.expr(f"greatest({', '.join(f'{side}_{name}' for side in sides)})")
     return merged
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +12,7 @@ from millwatch.operators.bronze import to_bronze
 from millwatch.operators.gold import gold_risk
 from millwatch.operators.quality import quarantine_distinct, split_valid
 from millwatch.operators.serving import leaderboard
-from millwatch.operators.silver import to_silver
+from millwatch.operators.silver import silver_from_bronze, to_silver
 from millwatch.sources import sinks
 from millwatch.sources.tables import require_rows
 from millwatch.sources.telemetry import read_telemetry, with_source_file
@@ -28,6 +28,18 @@ class Lake:
     gold: str
 
 
+# The table names that dashboards query.
+CATALOG_LAKE = Lake(
+    "bronze_machine_telemetry", "silver_telemetry", "quarantine_telemetry", "gold_supply_risk"
+)
+
+
+def lake_at(folder: str) -> Lake:
+    """The same tables as folders under a path."""
+    root = folder.rstrip("/")
+    return Lake(*[f"{root}/{name}" for name in astuple(CATALOG_LAKE)])
+
+
 def load_bronze(spark: SparkSession, landing: str, lake: Lake) -> DataFrame:
     raw = require_rows(with_source_file(read_telemetry(spark, landing)), landing)
     sinks.write_table(to_bronze(raw), lake.bronze)
@@ -46,9 +58,14 @@ def load_silver(
     if not keep_duplicates:
         rejected = quarantine_distinct(bronze)
     sinks.write_quarantine(rejected, lake.quarantine, run_id)
-    silver = to_silver(valid)
-    sinks.write_partitioned(silver, lake.silver, replace_schema=True)
-    return sinks.read_target(spark, lake.silver, schema=silver.schema)
+    sinks.write_partitioned(to_silver(valid), lake.silver, replace_schema=True)
+    return stored_silver(spark, lake)
+
+
+def stored_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver as written, with the column types that its bronze implies."""
+    layout = silver_from_bronze(sinks.read_target(spark, lake.bronze)).schema
+    return sinks.read_target(spark, lake.silver, schema=layout)
 
 
 def load_gold(spark: SparkSession, silver: DataFrame, lake: Lake) -> DataFrame:

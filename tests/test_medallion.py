@@ -73,3 +73,27 @@ def test_refresh_equals_rebuild_and_drops_emptied_days(spark, silver):
     gone = incremental.vanished_days(touched, incremental.recomputed_gold(after, touched)).collect()
     assert [tuple(r) for r in gone] == [("PLANT_MX_01", "2024-03-03")]
     assert set(schemas.PLANT_DAY) <= set(refreshed.columns)
+
+
+def test_command_line_and_dashboard_sql(spark, tmp_path, capsys, monkeypatch):
+    from millwatch import __main__ as command
+
+    monkeypatch.setattr(command, "build_session", lambda: spark)
+    landing = landed(tmp_path, {}, {"machine_id": "M2", "operational_status": "IDLE", "temperature_celsius": 20})
+    command.main(["all", "--landing", landing, "--run-id", "r1"])
+    assert "M1" in capsys.readouterr().out
+    summary = spark.sql(
+        "SELECT plant_id, count(DISTINCT machine_id) AS machines, round(avg(risk_score), 4) AS risk, "
+        "sum(fault_event_count_24h) AS faults FROM gold_supply_risk GROUP BY plant_id"
+    )
+    assert [tuple(r) for r in summary.collect()] == [("P1", 2, 0.35, 1)]
+    counters = spark.sql(
+        "SELECT count_if(risk_score > 0.30) AS high, max(risk_score) AS peak FROM gold_supply_risk"
+    )
+    assert tuple(counters.first()) == (1, 0.7)
+    folder = str(tmp_path / "lake")
+    for stage in ("bronze", "silver", "gold"):
+        command.main([stage, "--landing", landing, "--run-id", "r1", "--lake", folder])
+    assert sinks.written_count(spark, f"{folder}/gold_supply_risk") == 2
+    with pytest.raises(SystemExit):
+        command.main(["bronze"])
