@@ -6,7 +6,6 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwatch import schemas
 from millwatch.operators import incremental
 from millwatch.operators.bronze import to_bronze
 from millwatch.operators.gold import gold_risk
@@ -74,17 +73,24 @@ def load_gold(spark: SparkSession, silver: DataFrame, lake: Lake) -> DataFrame:
     return sinks.read_target(spark, lake.gold, schema=gold.schema)
 
 
-def refresh_gold(spark: SparkSession, silver: DataFrame, touched: DataFrame, table: str) -> DataFrame:
-    """Recompute the touched plant-days of a gold catalog table in place.
+def refresh_gold(
+    spark: SparkSession, silver: DataFrame, touched: DataFrame, target: str
+) -> DataFrame:
+    """Recompute the touched plant-days of a written gold table in place.
 
-    A touched day that lost its last valid reading is dropped: overwriting
-    partitions leaves it alone. Only names of such days reach the driver.
+    A touched day that lost its last valid reading must be dropped, for
+    overwriting partitions leaves it alone. Spark drops partitions of catalog
+    tables only, so a path with such a day is refused before anything is written.
+    Only the names of such days reach the driver.
     """
-    fresh = incremental.recomputed_gold(silver, touched)
-    sinks.write_partitioned(fresh, table, only_touched=True)
     gone = incremental.vanished_days(touched, silver)
-    sinks.drop_partitions(spark, table, [row.asDict() for row in gone.toLocalIterator()])
-    return spark.read.table(table)
+    if sinks.is_path(target) and not gone.isEmpty():
+        raise ValueError(f"{target} has days without readings: rebuild it or use a catalog table")
+    fresh = incremental.recomputed_gold(silver, touched)
+    sinks.write_partitioned(fresh, target, only_touched=True)
+    if not sinks.is_path(target):
+        sinks.drop_partitions(spark, target, [row.asDict() for row in gone.toLocalIterator()])
+    return sinks.read_target(spark, target, schema=fresh.schema)
 
 
 def run(spark: SparkSession, landing: str, lake: Lake, run_id: str) -> DataFrame:

@@ -8,21 +8,24 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millwatch import schemas
 from millwatch.functions.text import ISO_MICROS
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target
 
 
 def _save(writer: DataFrameWriter, target: str) -> None:
-    writer.save(target) if _is_path(target) else writer.saveAsTable(target)
+    writer.save(target) if is_path(target) else writer.saveAsTable(target)
 
 
-def read_target(spark: SparkSession, target: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    if not _is_path(target):
+def read_target(
+    spark: SparkSession, target: str, fmt: str = "parquet", schema: str | StructType | None = None
+) -> DataFrame:
+    if not is_path(target):
         return spark.read.table(target)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(target)
@@ -57,7 +60,7 @@ def _touched_partitions_only(spark: SparkSession) -> Iterator[None]:
 def overwrite_touched(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parquet") -> None:
     """Replace the partitions that ``df`` holds and leave all others alone."""
     spark = df.sparkSession
-    if _is_path(target):
+    if is_path(target):
         writer = df.write.format(fmt).mode("overwrite").partitionBy(*keys)
         writer.option("partitionOverwriteMode", "dynamic").save(target)
     elif spark.catalog.tableExists(target):
@@ -74,14 +77,20 @@ def write_partitioned(
     fmt: str = "parquet",
     only_touched: bool = False,
     replace_schema: bool = False,
+    rebalance: bool = True,
 ) -> None:
-    """Overwrite a partitioned table, or only the partitions that ``df`` holds."""
-    rows = rebalanced(df, keys)
+    """Overwrite a partitioned table, or only the partitions that ``df`` holds.
+
+    Input that already lies in the order of its keys, such as files landed day by
+    day, can skip the shuffle with ``rebalance=False``: each task then writes the
+    few partitions it holds.
+    """
+    rows = rebalanced(df, keys) if rebalance else df
     if only_touched:
         overwrite_touched(rows, target, keys, fmt)
         return
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*keys)
-    if _is_path(target):
+    if is_path(target):
         # not for a catalog table: it would keep the option for later inserts
         writer = writer.option("partitionOverwriteMode", "static")
     if replace_schema and fmt == "delta":
@@ -95,7 +104,7 @@ def write_run(df: DataFrame, target: str, run_id: str, fmt: str = "parquet") ->
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"not usable as a run id: {run_id!r}")
     rows = rebalanced(df)
-    if _is_path(target):
+    if is_path(target):
         rows.write.format(fmt).mode("overwrite").save(f"{target}/run_id={run_id}")
         return
     spark = df.sparkSession
@@ -161,10 +170,12 @@ def drop_partitions(spark: SparkSession, table: str, partitions: Sequence[dict])
     """Drop whole partitions of a catalog table in one statement."""
     if not partitions:
         return
-    clauses = ", ".join(
-        "PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in values.items()) + ")"
-        for values in partitions
-    )
+
+    def clause(values: dict) -> str:
+        quoted = {k: str(v).replace("\\", "\\\\").replace("'", "\\'") for k, v in values.items()}
+        return "PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in quoted.items()) + ")"
+
+    clauses = ", ".join(map(clause, partitions))
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
 
 

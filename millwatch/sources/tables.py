@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from millwatch import schemas
 
@@ -15,7 +16,7 @@ def read_path(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    schema: str | None = None,
+    schema: str | StructType | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
     """Pass a schema for partitioned Parquet: path values such as ``007`` would

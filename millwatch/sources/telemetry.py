@@ -56,3 +56,15 @@ def with_rescued(
     fields = F.from_json(text, "map<string,string>")
     extra = F.map_filter(fields, lambda name, _: ~name.isin(*known))
     return lines.withColumn(RESCUED, F.when(F.size(extra) > 0, F.to_json(extra)))
+
+
+def read_drifting(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines with unknown fields rescued, damaged text kept and the file named."""
+    lines = with_source_file(spark.read.text(path))
+    return parse_lines(with_rescued(lines))
+
+
+def stream_drifting(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """The same as a stream."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return parse_lines(with_rescued(with_source_file(reader.text(path))))

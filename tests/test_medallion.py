@@ -5,7 +5,6 @@ import json
 import pytest
 from conftest import at
 
-from millwatch import schemas
 from millwatch.operators import incremental, quality
 from millwatch.operators.gold import gold_risk
 from millwatch.plans import medallion
@@ -31,7 +30,7 @@ def landed(tmp_path, *rows: dict) -> str:
 
 @pytest.mark.parametrize("by_name", [False, True])
 def test_all_stages(spark, tmp_path, by_name):
-    names = ("bronze", "silver", "quarantine", "gold")
+    names = "bronze", "silver", "quarantine", "gold"
     lake = medallion.Lake(*[f"lake_{n}" if by_name else str(tmp_path / n) for n in names])
     landing = landed(
         tmp_path, {}, {"machine_id": "M2", "operational_status": "IDLE"}, {"vibration_hz": 900}, {"vibration_hz": 900}
@@ -75,6 +74,19 @@ def test_refresh_equals_rebuild_and_drops_emptied_days(spark, silver):
     assert set(schemas.PLANT_DAY) <= set(refreshed.columns)
 
 
+def test_refresh_of_a_path(spark, silver, tmp_path):
+    target = str(tmp_path / "gold")
+    before = silver({}, {"event_timestamp": at(DAY)})
+    sinks.write_partitioned(gold_risk(before), target, rebalance=False)
+    after = silver({}, {"event_timestamp": at(DAY)}, {"event_timestamp": at(DAY + 1)})
+    touched = incremental.touched_days(silver({"event_timestamp": at(DAY)}))
+    days = medallion.refresh_gold(spark, after, touched, target).orderBy("event_date").collect()
+    assert [r.total_readings_24h for r in days] == [1, 2]
+    with pytest.raises(ValueError, match="without readings"):
+        medallion.refresh_gold(spark, silver({}), touched, target)
+    assert sinks.written_count(spark, target) == 2
+
+
 def test_command_line_and_dashboard_sql(spark, tmp_path, capsys, monkeypatch):
     from millwatch import __main__ as command
 

@@ -92,9 +92,9 @@ def test_tables_are_created_once(spark):
     for _ in range(2):
         sinks.ensure_table(spark, "declared", "a INT, b STRING", keys=["b"])
     assert spark.read.table("declared").columns == ["a", "b"]
-    spark.sql("INSERT INTO declared VALUES (1, 'x'), (2, 'y'), (3, 'z')")
+    spark.sql("INSERT INTO declared VALUES (1, 'x'), (2, 'y'), (3, 'z'), (4, \"it's\")")
     sinks.ensure_table(spark, "declared", "a INT, b STRING", keys=["b"])
-    sinks.drop_partitions(spark, "declared", [{"b": "x"}, {"b": "y"}, {"b": "none"}])
+    sinks.drop_partitions(spark, "declared", [{"b": "x"}, {"b": "y"}, {"b": "none"}, {"b": "it's"}])
     sinks.drop_partitions(spark, "declared", [])
     assert [r.a for r in spark.read.table("declared").collect()] == [3]
 

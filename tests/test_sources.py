@@ -9,7 +9,9 @@ from millwatch import schemas
 from millwatch.functions import text
 from millwatch.operators import quality
 from millwatch.operators.bronze import apply_defaults, drop_resends, merge_batches, to_bronze
+from millwatch.operators.silver import silver_from_bronze
 from millwatch.sources import session, tables, telemetry
+from millwatch.streaming.silver import append_stream
 
 GOOD = {
     "machine_id": "MCH_0001",
@@ -61,6 +63,25 @@ def test_unknown_fields_survive(spark, landing):
     assert json.loads(again.first().value) == {"machine_id": "m", "wifi": -42.5}
 
 
+def test_drift_and_damage_in_one_scan(spark, landing, tmp_path):
+    def check(rows):
+        assert rows.count() == 6
+        drifted = rows.filter(F.col(telemetry.RESCUED).isNotNull()).collect()
+        assert [(r.machine_id, r[telemetry.RESCUED]) for r in drifted] == [
+            ("MCH_0001", '{"wifi_signal_strength":"-42.5"}')
+        ]
+        assert rows.filter(F.col(telemetry.CORRUPT) == "{bad").count() == 1
+        assert rows.filter(F.col("_source_file").endswith("a.json")).count() == 6
+        silver = silver_from_bronze(to_bronze(rows))
+        assert silver.count() == 3 and telemetry.RESCUED not in silver.columns
+
+    check(telemetry.read_drifting(spark, landing))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    stream = telemetry.stream_drifting(spark, f"{landing}/*.json")
+    append_stream(stream, out, checkpoint).awaitTermination()
+    check(spark.read.parquet(out))
+
+
 def test_payload_text_forms(spark):
     row = spark.sql(
         "SELECT TIMESTAMP '2024-03-01 10:00:00.5' AS snapshot_date, "
