@@ -39,19 +39,20 @@ def apply_changes(base: DataFrame, flat: DataFrame, key: str) -> DataFrame:
 
     Creates, snapshot reads and updates put the row, deletes remove it, and only
     the last change of a key counts. Columns the feed lacks keep the base value.
+    Both sides hold a key once, so their one full join has no hot key.
     """
     last = latest_changes(flat, key).withColumn("__changed", F.lit(True))
     joined = base.alias("base").join(last.alias("feed"), key, "full_outer")
-    columns = []
+    columns = {key: F.col(key)}
     for name in base.columns:
-        if name == key:
-            columns.append(F.col(key))
-        elif name in last.columns:
-            put = F.when(F.col("feed.__changed"), F.col(f"feed.{name}"))
-            columns.append(put.otherwise(F.col(f"base.{name}")).alias(name))
+        old = F.col(f"base.{name}")
+        if name not in last.columns:
+            columns.setdefault(name, old)
         else:
-            columns.append(F.col(f"base.{name}").alias(name))
-    return joined.filter(F.coalesce(F.col("feed.op"), F.lit("")) != DELETE).select(*columns)
+            put = F.when(F.col("feed.__changed"), F.col(f"feed.{name}"))
+            columns.setdefault(name, put.otherwise(old))
+    kept = joined.filter(F.coalesce(F.col("feed.op"), F.lit("")) != DELETE)
+    return kept.select(*[columns[name].alias(name) for name in base.columns])
 
 
 def scd2(flat: DataFrame, key: str, cell_hours: int = 1) -> DataFrame:
@@ -85,24 +86,28 @@ def snapshot_history(
     A row whose ``updated_at`` is newer than its open version closes that
     version and opens another; a new key opens its first; a key missing from
     the snapshot keeps its open version. The same snapshot again changes
-    nothing. Only open versions, one per key, meet the snapshot.
+    nothing. Closed versions stay where they are: only open ones, one per key,
+    are joined with the snapshot.
     """
-    fresh = current.withColumn("valid_from", F.col(updated_at))
-    newest = fresh.select(key, F.col("valid_from").alias("__newest"))
-    is_open = F.col("valid_to").isNull()
-    overtaken = is_open & (F.col("__newest") > F.col("valid_from"))
-    closed = history.join(newest, key, "left").withColumns(
-        {"valid_to": F.when(overtaken, F.col("__newest")).otherwise(F.col("valid_to"))}
+    columns = history.columns
+    never = F.lit(None).cast("timestamp")
+    fresh = current.withColumns(
+        {"valid_from": F.col(updated_at), "valid_to": never, "is_current": F.lit(True)}
     )
-    open_from = history.filter(is_open).select(key, F.col("valid_from").alias("__open_from"))
-    opened = (
-        fresh.join(open_from, key, "left")
-        .filter(F.col("__open_from").isNull() | (F.col("valid_from") > F.col("__open_from")))
-        .withColumn("valid_to", F.lit(None).cast("timestamp"))
+    was_open = history.filter(F.col("valid_to").isNull())
+    old = was_open.select(key, F.struct(*columns).alias("__old"))
+    new = fresh.select(key, F.struct(*columns).alias("__new"))
+    newer = F.col("__new.valid_from") > F.col("__old.valid_from")
+    ended = F.col("__old").withField("valid_to", F.col("__new.valid_from"))
+    ended = ended.withField("is_current", F.lit(False))
+    versions = F.when(F.col("__old").isNull(), F.array("__new"))
+    versions = versions.when(newer, F.array(ended, "__new")).otherwise(F.array("__old"))
+    open_now = (
+        old.join(new, key, "full_outer")
+        .select(F.explode(versions).alias("__version"))
+        .select("__version.*")
     )
-    columns = [c for c in history.columns if c != "is_current"]
-    merged = closed.select(*columns).unionByName(opened.select(*columns))
-    return merged.withColumn("is_current", F.col("valid_to").isNull())
+    return history.filter(F.col("valid_to").isNotNull()).unionByName(open_now)
 
 
 def open_history(table: DataFrame, updated_at: str = "updated_at") -> DataFrame:

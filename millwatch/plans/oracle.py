@@ -315,6 +315,8 @@ ORACLE_SQL: dict[str, str] = {
       least(value, NULL, CAST(50 AS DOUBLE)) AS at_most_fifty,
       greatest(value, CAST(1 AS DOUBLE)) AS at_least_one,
       CASE WHEN value > 10 THEN value - 10 END AS above_ten FROM events""",
+    "source_resolved": f"{READINGS} SELECT {BRONZE_OUT} FROM readings",
+    "reference_loaded": f"WITH {MACHINES} SELECT {MACHINE_OUT} FROM machines",
     # Silver and gold
     "silver_flags": f"{SILVER} SELECT {SILVER_OUT} FROM silver",
     "partition_pruned": f"""{SILVER} SELECT plant_id, {_date("event_date")}, readings, avg_temp,
@@ -362,6 +364,13 @@ ORACLE_SQL: dict[str, str] = {
     "risk_kpi": f"{GOLD} {KPI} FROM gold",
     "risk_kpi_machines": f"""{GOLD} {KPI} FROM (SELECT max(risk_score) AS risk_score FROM gold
       GROUP BY machine_id, plant_id)""",
+    "dashboard_sql": f"""{GOLD}, totals AS (SELECT plant_id, event_date,
+        count(CASE WHEN risk_score > CAST(0.30 AS DOUBLE) THEN 1 END) AS high_risk_machines,
+        max(risk_score) AS peak_risk_score,
+        CAST(sum(error_code_count_24h) AS BIGINT) AS error_codes
+      FROM gold GROUP BY plant_id, event_date)
+      SELECT plant_id, {_date("event_date")}, high_risk_machines, peak_risk_score, error_codes
+      FROM totals""",
     "rank_in_plant": f"""{GOLD} SELECT plant_id, {_date("event_date")}, machine_id, risk_score,
       rank() OVER (PARTITION BY plant_id, event_date ORDER BY risk_score DESC) AS rank_in_plant
       FROM gold""",
@@ -489,6 +498,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_json_landing": f"{READINGS} SELECT {BRONZE_OUT} FROM readings",
     "daily_window": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
     "stream_leaderboard": f"{GOLD} {BOARD}",
+    "stream_plant_machines": f"""{SILVER}, seen AS (SELECT plant_id, event_date,
+        count(DISTINCT machine_id) AS machines FROM silver GROUP BY plant_id, event_date)
+      SELECT plant_id, {_date("event_date")}, machines FROM seen""",
     "stream_sliding_24h": f"""{SILVER}{SLIDING_CTE} {SLIDING}
       WHERE windows.window_end <= {WATERMARK.format("silver")}""",
     "stream_fault_sessions": f"""{SILVER}{SESSION_CTE} {SESSIONS}

@@ -32,7 +32,7 @@ from millwatch.operators import (
 from millwatch.operators.silver import silver_from_bronze
 from millwatch.sources import changes as change_feed
 from millwatch.sources import sample_tables as sample
-from millwatch.sources import sinks, telemetry
+from millwatch.sources import sinks, tables, telemetry
 from millwatch.sources.session import shared_folder
 from millwatch.sources.tables import read_path
 from millwatch.streaming import risk as stream_risk
@@ -230,6 +230,23 @@ def scalar_functions(spark, sf_dir):
     )
 
 
+@query()
+def source_resolved(spark, sf_dir):
+    """Bronze found by path where the catalog has no such table."""
+    path = scratch(spark, "bronze")
+    sinks.write_table(sample.bronze(spark, sf_dir), path)
+    return tables.require_rows(tables.resolve_source(spark, "no_such_bronze_table", path))
+
+
+@query()
+def reference_loaded(spark, sf_dir):
+    """Machines loaded twice, read with the declared layout."""
+    path = scratch(spark, "machines")
+    for _ in range(2):
+        sinks.load_reference(sample.machines(spark, sf_dir), path)
+    return tables.read_reference(spark, "machines", path=path)
+
+
 # Silver and gold
 
 
@@ -339,6 +356,17 @@ def risk_kpi_machines(spark, sf_dir):
     return serving.risk_kpi_machines(_gold(spark, sf_dir))
 
 
+@query()
+def dashboard_sql(spark, sf_dir):
+    """SQL text over gold published as a view."""
+    sinks.materialize(_gold(spark, sf_dir), "gold_supply_risk")
+    return spark.sql(
+        "SELECT plant_id, event_date, count_if(risk_score > 0.30D) AS high_risk_machines, "
+        "max(risk_score) AS peak_risk_score, sum(error_code_count_24h) AS error_codes "
+        "FROM gold_supply_risk GROUP BY plant_id, event_date"
+    )
+
+
 @query()
 def rank_in_plant(spark, sf_dir):
     return serving.rank_in_plant(_gold(spark, sf_dir))
@@ -648,6 +676,14 @@ def stream_leaderboard(spark, sf_dir):
     return stream_risk.leaderboard(spark, _streamed_days(spark, sf_dir))
 
 
+@query()
+def stream_plant_machines(spark, sf_dir):
+    base = scratch(spark, "plants")
+    counted = stream_risk.approximate_plant_machines(_silver_stream(spark, sf_dir))
+    _finish(stream_risk.stream_upserts(counted, f"{base}/rows", f"{base}/checkpoint"))
+    return stream_risk.read_upserts(spark, f"{base}/rows", schemas.PLANT_DAY)
+
+
 @query(*SLIDING_AVERAGES)
 def stream_sliding_24h(spark, sf_dir):
     base = scratch(spark, "sliding")

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Spark 4.1 can take a union of equally partitioned inputs for partitioned
+    # itself and then fail to pair it with the other side of a join.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 

@@ -103,3 +103,20 @@ def test_hot_machine_is_spread(spark, silver):
         if "Exchange hashpartitioning" in line and "Reused" not in line:
             keys = re.search(r"hashpartitioning\((.*?), \d+\)", line).group(1)
             assert re.search(r"event_timestamp|cell|__group|\bat\b", keys), keys
+
+
+@pytest.mark.parametrize("flag", ["true", "false"])
+def test_chained_changes_join_without_broadcasts(spark, flag):
+    """Tables after changes can be joined and grouped again, however Spark sees unions."""
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.unionOutputPartitioning": flag}
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        for name in ("apply_changes", "snapshot_history", "scd2_machines"):
+            changed = QUERIES[name](spark, SF)
+            keys = changed.groupBy("machine_id").count()
+            assert changed.join(keys, "machine_id").count() == changed.count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
