@@ -71,3 +71,18 @@ def missing(known: dict, used: set, most: int) -> list:
         known.clear()
         known.update(kept)
     return new
+
+
+def drawn_by_hash(df: DataFrame, classes: str, per_class: int, salt: str) -> DataFrame:
+    """About ``per_class`` rows of each value of ``classes``, all of a rarer one.
+
+    A hash of doc_id draws them, so equal runs draw the same rows. Only a count per value comes
+    to the driver, and the filter needs neither a join nor a shuffle of the texts.
+    """
+    counts = df.groupBy(classes).agg(F.count(F.lit(1)).alias("n")).collect()
+    draw = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1_000_000)) / 1_000_000
+    taken = F.lit(False)
+    for row in counts:
+        share = F.lit(per_class / row["n"])
+        taken |= (F.col(classes) == F.lit(row[classes])) & (draw < share)
+    return df.filter(taken)

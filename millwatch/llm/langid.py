@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import map_slices, missing, whole_text, written
+from millwatch.llm.common import drawn_by_hash, map_slices, missing, whole_text, written
 
 UNDETERMINED = "und"
 
@@ -220,14 +220,9 @@ class Scorer:
 
 
 def train_rows(docs: DataFrame, train: Column, per_language: int = TRAIN_DOCUMENTS) -> DataFrame:
-    """text and lang of about ``per_language`` documents of each language, chosen by hash.
-
-    A language with fewer documents gives all. The counts behind the shares read two columns.
-    """
+    """text and lang of about ``per_language`` documents of each language, chosen by hash."""
     labelled = docs.filter(train & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    shares = labelled.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("share"))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    return labelled.join(shares, "lang").filter(draw < F.col("share")).select("lang", "text")
+    return drawn_by_hash(labelled, "lang", per_language, "langid").select("lang", "text")
 
 
 def fit(
@@ -295,7 +290,12 @@ def fit(
 _SCORERS: dict[str, Scorer] = {}
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+def identify(
+    docs: DataFrame,
+    model: Model,
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
     """lang_pred and score of every row, beside the columns ``keep`` (``doc_id``).
 
     The text alone decides. ``score`` is the share of the predicted language when all are
@@ -314,24 +314,24 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
             _SCORERS.clear()
             scorer = _SCORERS[key] = Scorer(sent.value)
         sums, n = scorer.score(part.column("__text").to_pylist())
-        names, shares = [UNDETERMINED] * len(n), np.zeros(len(n))
+        langs, shares = [UNDETERMINED] * len(n), np.zeros(len(n))
         if sums.shape[1]:
             best = sums.argmax(axis=1)
             weight = np.exp(sums - sums.max(axis=1, keepdims=True))
             share = weight.max(axis=1) / weight.sum(axis=1)
             for k in np.flatnonzero(n):
-                names[k], shares[k] = sent.value.languages[best[k]], share[k]
+                langs[k], shares[k] = sent.value.languages[best[k]], share[k]
         columns = [part.column(c) for c in keep]
         return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(names, pa.string()), pa.array(shares)], [*keep, "lang_pred", "score"]
+            [*columns, pa.array(langs, pa.string()), pa.array(shares)], [*keep, *names]
         )
 
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_slices(source, work, f"{types}, lang_pred string, score double")
+    return map_slices(source, work, f"{types}, `{names[0]}` string, `{names[1]}` double")
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
     """The documents whose language is determined with at least ``least_score``, all columns."""
-    found = identify(docs, model, docs.columns)
-    sure = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)
+    found = identify(docs, model, docs.columns, ("__lang_pred", "__score"))
+    sure = (F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= least_score)
     return found.filter(sure).select(*docs.columns)

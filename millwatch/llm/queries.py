@@ -125,6 +125,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BLANK = r"[\x20\x09-\x0D]"
 
+
+def _within_sql(measure: str) -> str:
+    least, both = quality_rules.MEASURES[measure]
+    low, mid, high = (f"q.{measure}[{k}]" for k in (1, 2, 3))
+    spreads = quality_rules.SPREADS
+    most = f"m.{measure} <= {mid} + {spreads}::DOUBLE * greatest({mid} - {low}, {least}::DOUBLE)"
+    up = f"greatest(least({high} - {mid}, {mid} - {low}), {least}::DOUBLE)"
+    return f"{most} AND m.{measure} >= {mid} - {spreads}::DOUBLE * {up}" if both else most
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": rf"""
         WITH n AS (
@@ -140,4 +149,74 @@ ORACLE_SQL: dict[str, str] = {
         FROM n
         WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
     """,
+    "op7_quality_rules": rf"""
+        WITH t AS (
+            SELECT doc_id, lang, source, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda x: x <> '') AS words,
+                   regexp_replace(coalesce(text, ''), '{_BLANK}+', '', 'g') AS squeezed,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_replace(x, '{_BLANK}+', '', 'g') <> '') AS lines
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, [words[i], words[i + 1], words[i + 2]] AS win
+            FROM t, unnest(range(1, len(words) - 1)) AS r(i)
+        ), twice AS (
+            SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id
+        ), counts AS (
+            SELECT doc_id, lang, source, len(words) AS n_words, length(squeezed) AS word_chars,
+                   length(squeezed) - length(regexp_replace(squeezed, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+                   length(squeezed) - length(regexp_replace(squeezed, '\p{{Lu}}+', '', 'g')) AS n_upper,
+                   len(lines) AS n_lines,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n, 0) AS n_repeat_words
+            FROM t LEFT JOIN covered USING (doc_id)
+        ), measured AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                   n_symbols / nullif(word_chars, 0) AS symbol_share,
+                   n_dup_lines / nullif(n_lines, 0) AS dup_line_share,
+                   n_repeat_words / nullif(n_words, 0) AS repeat_share,
+                   n_upper / nullif(word_chars, 0) AS upper_share,
+                   word_chars / nullif(n_words, 0) AS word_length
+            FROM counts
+        ), levels AS (
+            SELECT grouping(source) + grouping(lang) AS level, lang, source, count(*) AS n,
+                   {", ".join(f"quantile_disc({m}, [0.1, 0.5, 0.9]) AS {m}" for m in quality_rules.MEASURES)}
+            FROM measured WHERE NOT base_failed
+            GROUP BY GROUPING SETS ((lang, source), (lang), ())
+        ), limits AS (
+            SELECT o.lang, o.source,
+                   CASE WHEN o.n >= {quality_rules.LEAST_GROUP} THEN o
+                        WHEN l.n >= {quality_rules.LEAST_GROUP} THEN l ELSE a END AS q
+            FROM levels o
+            JOIN levels l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM o.lang
+            JOIN levels a ON a.level = 2
+            WHERE o.level = 0
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce({" AND ".join(_within_sql(m) for m in quality_rules.MEASURES)}, true) AS kept
+        FROM measured m LEFT JOIN limits USING (lang, source)
+    """,
+    "op9_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), sized AS (
+            SELECT *, 8 + 8 + 7 + length(role) + length(text)
+                   + length(role || text) - length(replace(role || text, chr(92), ''))
+                   + len(regexp_extract_all(role || chr(10) || text,
+                                            '<\||</?s>|<</?SYS>|\[/?INST\]')) AS chars
+            FROM turns
+        ), chats AS (
+            SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+                   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+                   coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS learned
+            FROM sized GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+               formatted_chars
+        FROM chats
+    """,
 }

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import map_slices, missing, whole_text
+from millwatch.llm.common import drawn_by_hash, map_slices, missing, whole_text
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
@@ -93,15 +93,16 @@ def bags(docs: DataFrame) -> DataFrame:
 def train_rows(
     docs: DataFrame, labels: DataFrame, train: Column, per_class: int = TRAIN_DOCUMENTS
 ) -> DataFrame:
-    """text and label of about ``per_class`` documents of each class, chosen by hash."""
+    """text and label of about ``per_class`` documents of each class, chosen by hash.
+
+    At most four times as many ids are sent to the texts, so that no text is shuffled.
+    """
     known = labels.filter(train & F.col("toxic").isin(0, 1)).select(
         "doc_id", F.col("toxic").cast("int").alias("label")
     )
-    shares = known.groupBy("label").agg((F.lit(float(per_class)) / F.count(F.lit(1))).alias("share"))
-    draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    drawn = known.join(shares, "label").filter(draw < F.col("share")).select("doc_id", "label")
+    drawn = drawn_by_hash(known, "label", per_class, "toxicity").limit(4 * per_class)
     texts = docs.select("doc_id", whole_text().alias("text"))
-    return texts.join(drawn, "doc_id").select("label", "text")
+    return texts.join(F.broadcast(drawn), "doc_id").select("label", "text")
 
 
 @dataclass
@@ -126,8 +127,9 @@ def train(
     rng = np.random.default_rng(seed)
     # buckets that most texts have tell nothing and are most of the work: their vector is zero
     told = np.bincount(buckets, minlength=BUCKETS) <= COMMON * len(label)
-    owner = np.repeat(np.arange(len(label)), np.diff(indptr))[told[buckets]]
-    shares, buckets = shares[told[buckets]], buckets[told[buckets]]
+    use = told[buckets]
+    owner = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(indptr))[use]
+    shares, buckets = shares[use], buckets[use]
     indptr = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(label)))))
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     table[~told] = 0
@@ -177,17 +179,19 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, per_class: int = T
     label = got.column("label").to_numpy().astype(np.int64)
     lists = got.column("buckets").combine_chunks()
     if not len(label):
-        return train(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0), label)
-    flat = lists.flatten().to_numpy().astype(np.int64)
+        return train(np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0), label)
+    flat = lists.flatten().to_numpy()
     shares = got.column("shares").combine_chunks().flatten().to_numpy()
-    sizes = np.array([len(x) for x in lists])
+    sizes = np.diff(lists.offsets.to_numpy())
     # in an order of their own, so that the result doesn't hang on that of the tasks
     mark = [crc32(np.ascontiguousarray(x.values.to_numpy())) for x in lists]
     order = np.lexsort((mark, sizes, label))
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    where = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in order])
-    indptr = np.concatenate(([0], np.cumsum(sizes[order])))
-    return train(indptr, flat[where], shares[where], label[order])
+    flat, shares = (
+        np.concatenate([x[starts[k] : starts[k + 1]] for k in order]) for x in (flat, shares)
+    )
+    del got, lists
+    return train(np.concatenate(([0], np.cumsum(sizes[order]))), flat, shares, label[order])
 
 
 class Scorer:

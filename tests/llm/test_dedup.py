@@ -1,0 +1,157 @@
+"""Exact and near duplicates against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from millwatch.llm import exact_dedup, simhash
+
+
+def brute_exact(rows):
+    groups: dict[str, list] = {}
+    for doc_id, text in rows:
+        key = hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", "", text or "").encode()).hexdigest()
+        groups.setdefault(key, []).append((-len(text or ""), doc_id is None, doc_id or 0, doc_id))
+    return {
+        (doc_id, key, min(members)[3], len(members))
+        for key, members in groups.items()
+        for *_, doc_id in members
+    }
+
+
+def test_exact_duplicates_equal_brute_force(documents):
+    rng = random.Random(5)
+    rows = [(k, rng.choice(["a b", "ab", " a  b", "c", "", None, "ab\n", "Ab"])) for k in range(300)]
+    got = exact_dedup.exact_dedup(documents(*rows).repartition(7)).collect()
+    assert {(r.doc_id, r.text_sha256, r.keep_id, r.group_size) for r in got} == brute_exact(rows)
+    assert len(got) == 300
+    assert sum(r.kept for r in got) == len({r.text_sha256 for r in got})
+
+
+def test_exact_dedup_of_hard_rows(hard_documents):
+    got = exact_dedup.exact_dedup(hard_documents).collect()
+    assert len(got) == 10
+    blank = [r for r in got if r.doc_id in (2, 3, 4)]
+    assert {(r.keep_id, r.group_size) for r in blank} == {(4, 3)}  # the longest original
+    nameless = [r for r in got if r.doc_id is None]
+    assert [(r.keep_id, r.group_size, r.kept) for r in nameless] == [(None, 2, True)] * 2
+    kept = exact_dedup.keep_first_rows(hard_documents)
+    assert kept.columns == hard_documents.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "5", "6", "7", "None"]
+
+
+def test_empty_tables(no_documents):
+    assert exact_dedup.exact_dedup(no_documents).count() == 0
+    assert exact_dedup.keep_first_rows(no_documents).count() == 0
+    assert simhash.near_duplicates(no_documents).count() == 0
+    assert simhash.keep_one_of_each(no_documents).count() == 0
+
+
+def brute_fingerprint(text: str) -> int:
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize(
+    "text", ["", "a", "A b", "a b c d", "Ä B c D e f", "x " * 500, "\x0bq\x0cr s t u", "É é a b"]
+)
+def test_fingerprint(text):
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def roots_of(fps: list[int], bits: int) -> dict[int, int]:
+    root = {f: f for f in fps}
+    changed = True
+    while changed:
+        changed = False
+        for a in fps:
+            for b in fps:
+                if (a ^ b).bit_count() <= bits and root[a] < root[b]:
+                    root[b], changed = root[a], True
+    return root
+
+
+def signed(f: int) -> int:
+    return f - (1 << 64) if f >> 63 else f
+
+
+@pytest.mark.parametrize("block_members", [4096, 8])
+def test_links_reach_what_brute_force_reaches(spark, block_members):
+    """Chains, dense balls and far points; small blocks take the path of crowded cells."""
+    rng = random.Random(3)
+    fps = set()
+    for _ in range(12):
+        at = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 3, 25])):
+            fps.add(at)
+            at ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5)))
+    centre = rng.getrandbits(64)
+    fps |= {centre ^ (1 << b) for b in range(40)}
+    fps |= {0, 15, 15 << 4, (1 << 64) - 1}
+    # signed, as the smallest node is taken among signed numbers
+    frame = spark.createDataFrame([(signed(f),) for f in fps], "fp bigint")
+    found = simhash.components(simhash.links(frame, 4, block_members)).collect()
+    got = {r.node: r.root for r in found}
+    assert len(got) == len(found)
+    expected: dict[int, set] = {}
+    for f, r in roots_of(sorted(fps), 4).items():
+        expected.setdefault(r, set()).add(signed(f))
+    actual: dict[int, set] = {}
+    for f in fps:
+        actual.setdefault(got.get(signed(f), signed(f)), set()).add(signed(f))
+    assert sorted(map(sorted, expected.values())) == sorted(map(sorted, actual.values()))
+    assert all(root == min(members) for root, members in actual.items())
+
+
+def test_unary_counts_bound_the_distance():
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 1 << 63, 5000, dtype=np.int64).view(np.uint64) for _ in range(2))
+    lower = np.bitwise_count(simhash._unary_counts(a) ^ simhash._unary_counts(b))
+    assert (lower <= np.bitwise_count(a ^ b)).all()
+
+
+def test_near_duplicates_equal_brute_force(documents):
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(60):
+        text = [rng.choice(words) for _ in range(rng.choice([0, 2, 3, 4, 300]))]
+        rows.append((3 * k, " ".join(text)))
+        if len(text) == 300:
+            text[rng.randrange(300)] = "changed"
+            rows.append((3 * k + 1, " ".join(text)))
+    got = {r.doc_id: r for r in simhash.near_duplicates(documents(*rows).repartition(5)).collect()}
+    fps = {d: brute_fingerprint(t) for d, t in rows}
+    assert {d: r.fp & (1 << 64) - 1 for d, r in got.items()} == fps
+    root = roots_of(sorted(set(fps.values())), 4)
+    least: dict[int, int] = {}
+    for d, f in fps.items():
+        least[root[f]] = min(d, least.get(root[f], d))
+    assert {d: r.component_id for d, r in got.items()} == {d: least[root[f]] for d, f in fps.items()}
+
+
+def test_near_duplicates_of_hard_rows(hard_documents):
+    got = simhash.near_duplicates(hard_documents).collect()
+    assert len(got) == 10
+    assert {r.component_id for r in got if r.doc_id in (2, 3, 4)} == {2}
+    kept = simhash.keep_one_of_each(hard_documents)
+    assert kept.columns == hard_documents.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "5", "6", "7", "None"]
+
+
+def test_hot_copies_are_one_entry_per_task(documents):
+    frame = documents(*[(k, "same text") for k in range(500)], (1000, "other"))
+    plan = exact_dedup.merge_runs(exact_dedup.digest_entries(frame))._jdf.queryExecution().toString()
+    assert "partial_min" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert exact_dedup.exact_dedup(frame).filter(F.col("kept")).count() == 2
