@@ -18,7 +18,28 @@ REMEMBERED = 300_000
 _PART = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 
 #: Other characters that are white space for some readers: such texts are encoded in one go.
-_UNSURE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f\\u2060\\u3000\\ufeff]")
+_UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
+
+#: What keeps a text from being cut at single blanks and line feeds, which is faster.
+_UNEVEN = re.compile(r"[ \n][ \n]|[\x00\t\x0b-\r]|^[ \n]|[ \n]\Z")
+
+_AS_IT_IS = "\x00"
+
+
+def parts_of(text: str) -> list[str]:
+    """Names of the parts of a text: a word stands for a blank and the word, a line feed and a
+    word for themselves, and what follows a zero character for itself."""
+    if _UNSURE.search(text):
+        return [_AS_IT_IS + text]
+    if not text or _UNEVEN.search(text):
+        return [_AS_IT_IS + p for p in _PART.findall(text)]
+    return (_AS_IT_IS + text.replace("\n", " \n")).split(" ")
+
+
+def _spelled(part: str) -> str:
+    if part[0] == _AS_IT_IS:
+        return part[1:]
+    return part if part[0] == "\n" else " " + part
 
 
 @lru_cache(maxsize=2)
@@ -47,9 +68,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [[t] if _UNSURE.search(t) else _PART.findall(t) for t in texts]
-        used = set().union(*parts)
-        new = missing(self.known, used, REMEMBERED)
-        self.known.update(zip(new, self._ids(new), strict=True))
+        parts = [parts_of(t) for t in texts]
+        new = missing(self.known, set().union(*parts), REMEMBERED)
+        self.known.update(zip(new, self._ids([_spelled(p) for p in new]), strict=True))
         known = self.known
         return [b"".join([known[p] for p in found]) for found in parts]

@@ -106,12 +106,11 @@ def _dominated(filling: Pattern, counts: dict[int, int], slack: int) -> bool:
     if len(items) > _COMPARED:
         return False
     used = dict(filling)
-    free = [s for s, n in counts.items() if n > used.get(s, 0)]
     for size in range(1, len(items) + 1):
         for chosen in set(combinations(items, size)):
             total = sum(chosen)
-            for s in free:
-                if total <= s <= total + slack and (size > 1 or s > total):
+            for s in range(total + (size == 1), total + slack + 1):
+                if counts.get(s, 0) > used.get(s, 0):
                     return True
     return False
 
