@@ -45,5 +45,11 @@ def merge_batches(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def drop_resends(readings: DataFrame) -> DataFrame:
-    """One reading per machine and instant; a resend repeats the whole reading."""
-    return readings.dropDuplicates(["machine_id", "event_timestamp"])
+    """One reading per machine and instant; a resend repeats the whole reading.
+
+    Readings that lack either can't be told from each other, so all of them stay
+    and the gate sees them.
+    """
+    named = F.col("machine_id").isNotNull() & F.col("event_timestamp").isNotNull()
+    once = readings.filter(named).dropDuplicates(["machine_id", "event_timestamp"])
+    return once.unionByName(readings.filter(~named))

@@ -65,7 +65,8 @@ def scd2(flat: DataFrame, key: str, cell_hours: int = 1) -> DataFrame:
     values = [c for c in flat.columns if c not in (key, "ts_ms")]
     settled = (
         flat.groupBy(key, "ts_ms")
-        .agg(F.max_by(F.struct(*values), "lsn").alias("__version"))
+        # in a struct, as max_by passes over rows whose order is NULL
+        .agg(F.max_by(F.struct(*values), F.struct("lsn")).alias("__version"))
         .select(key, "ts_ms", "__version.*")
     )
     width = cell_hours * cells.HOUR // 1000

@@ -81,11 +81,19 @@ def inventory_value(inventory: DataFrame, suppliers: DataFrame) -> DataFrame:
 
 
 def reorder_alerts(inventory: DataFrame) -> DataFrame:
-    """Positions under their reorder point, critical under the safety stock."""
-    severity = F.when(F.col("stock_level") < F.col("safety_stock"), "CRITICAL").otherwise("REORDER")
-    low = inventory.filter(F.col("stock_level") < F.col("reorder_point"))
-    return low.withColumns(
-        {"severity": severity, "shortfall": F.col("reorder_point") - F.col("stock_level")}
+    """Positions under their reorder point or safety stock, critical under the latter.
+
+    The shortfall is against the reorder point, or against the safety stock where
+    only that is broken.
+    """
+    stock = F.col("stock_level")
+    to_reorder, unsafe = stock < F.col("reorder_point"), stock < F.col("safety_stock")
+    limit = F.when(to_reorder, F.col("reorder_point")).otherwise(F.col("safety_stock"))
+    return inventory.filter(to_reorder | unsafe).withColumns(
+        {
+            "severity": F.when(unsafe, "CRITICAL").otherwise("REORDER"),
+            "shortfall": limit - stock,
+        }
     )
 
 

@@ -17,7 +17,7 @@ def to_silver(valid: DataFrame, limits: SensorLimits = LIMITS) -> DataFrame:
         "event_hour": F.hour(at),
         "_silver_loaded_at": F.current_timestamp(),
     }
-    return valid.withColumns(derived).drop("_source_file", "_rescued_data")
+    return valid.withColumns(derived).drop("_source_file", "_rescued_data", "_corrupt_record")
 
 
 def silver_from_bronze(bronze: DataFrame, limits: SensorLimits = LIMITS) -> DataFrame:

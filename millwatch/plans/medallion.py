@@ -14,7 +14,7 @@ from millwatch.operators.serving import leaderboard
 from millwatch.operators.silver import silver_from_bronze, to_silver
 from millwatch.sources import sinks
 from millwatch.sources.tables import require_rows
-from millwatch.sources.telemetry import read_telemetry, with_source_file
+from millwatch.sources.telemetry import read_drifting
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,8 @@ def lake_at(folder: str) -> Lake:
 
 
 def load_bronze(spark: SparkSession, landing: str, lake: Lake) -> DataFrame:
-    raw = require_rows(with_source_file(read_telemetry(spark, landing)), landing)
+    """Scan the landing zone; unknown fields and damaged lines are kept as text."""
+    raw = require_rows(read_drifting(spark, landing), landing)
     sinks.write_table(to_bronze(raw), lake.bronze)
     return sinks.read_target(spark, lake.bronze)
 

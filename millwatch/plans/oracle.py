@@ -286,7 +286,7 @@ ORACLE_SQL: dict[str, str] = {
       {_reasons()} AS reject_reasons FROM readings WHERE {REJECTED}""",
     "resends_dropped": f"""{RESENT} SELECT {BRONZE_OUT} FROM (SELECT *, row_number() OVER (
         PARTITION BY machine_id, event_timestamp ORDER BY event_id) AS copy FROM readings)
-      WHERE copy = 1""",
+      WHERE copy = 1 OR machine_id IS NULL OR event_timestamp IS NULL""",
     "defaults_applied": f"""WITH {INVENTORY} SELECT * REPLACE (
         CASE WHEN transit_status = 'DELAYED' THEN reorder_point ELSE 100 END AS reorder_point,
         CASE WHEN transit_status = 'DELAYED' THEN safety_stock ELSE 50 END AS safety_stock,
@@ -297,6 +297,13 @@ ORACLE_SQL: dict[str, str] = {
     "json_round_trip": f"{READINGS} SELECT {BRONZE_OUT}, true AS _source_file FROM readings",
     "corrupt_lines": """SELECT event_id, event_type, event_type = 'error' AS is_corrupt
       FROM events""",
+    "landing_kept": f"""{READINGS}, kept AS (SELECT *, event_type = 'error' AS damaged FROM readings)
+      SELECT 'bronze' AS kind, count(*) AS n FROM kept
+      UNION ALL SELECT 'bronze_damaged', count(*) FROM kept WHERE damaged
+      UNION ALL SELECT 'bronze_rescued', count(*) FROM kept WHERE NOT damaged
+      UNION ALL SELECT 'quarantine', count(*) FROM kept WHERE damaged OR {REJECTED}
+      UNION ALL SELECT 'quarantine_damaged', count(*) FROM kept WHERE damaged
+      UNION ALL SELECT 'silver', count(*) FROM kept WHERE NOT damaged AND {GATE}""",
     "drift_rescue": """SELECT event_id,
       CAST(json_extract_string(props, '$.k') AS INT) AS firmware_k FROM events""",
     "drifted_batches_merged": f"""{READINGS} SELECT event_id, machine_id, plant_id,
@@ -463,8 +470,9 @@ ORACLE_SQL: dict[str, str] = {
       FROM inventory i JOIN suppliers s ON i.supplier_id = s.supplier_id""",
     "reorder_alerts": f"""WITH {INVENTORY} SELECT {INVENTORY_OUT},
       CASE WHEN stock_level < safety_stock THEN 'CRITICAL' ELSE 'REORDER' END AS severity,
-      reorder_point - stock_level AS shortfall
-      FROM inventory WHERE stock_level < reorder_point""",
+      CASE WHEN stock_level < reorder_point THEN reorder_point ELSE safety_stock END
+        - stock_level AS shortfall
+      FROM inventory WHERE stock_level < reorder_point OR stock_level < safety_stock""",
     "canonical_sites": f"""WITH {MACHINES} SELECT plant_id AS site_id, machine_id AS asset_id,
       machine_type AS asset_type, is_active FROM machines""",
     "canonical_partners": f"""WITH {SUPPLIERS} SELECT supplier_id AS tpartner_id,
@@ -493,8 +501,10 @@ ORACLE_SQL: dict[str, str] = {
     # Streams: appended windows are those the watermark has closed
     "stream_silver_written": f"{SILVER} SELECT {SILVER_OUT} FROM silver",
     "stream_quarantine_written": f"{READINGS} SELECT {BRONZE_OUT} FROM readings WHERE {REJECTED}",
-    "stream_resends_dropped": f"""{READINGS} SELECT machine_id, plant_id,
-      {_time("event_timestamp")}, {SENSORS} FROM readings""",
+    "stream_resends_dropped": f"""{RESENT} SELECT machine_id, plant_id,
+      {_time("event_timestamp")}, {SENSORS} FROM (SELECT *, row_number() OVER (
+        PARTITION BY machine_id, event_timestamp ORDER BY event_id) AS copy FROM readings)
+      WHERE copy = 1 OR machine_id IS NULL OR event_timestamp IS NULL""",
     "stream_json_landing": f"{READINGS} SELECT {BRONZE_OUT} FROM readings",
     "daily_window": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
     "stream_leaderboard": f"{GOLD} {BOARD}",

@@ -8,6 +8,7 @@ which doubles were added. Load times are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from millwatch.operators import (
     trailing,
 )
 from millwatch.operators.silver import silver_from_bronze
+from millwatch.plans import medallion
 from millwatch.sources import changes as change_feed
 from millwatch.sources import sample_tables as sample
 from millwatch.sources import sinks, tables, telemetry
@@ -184,6 +186,30 @@ def corrupt_lines(spark, sf_dir):
     )
 
 
+@query()
+def landing_kept(spark, sf_dir):
+    """Lines with unknown fields, some of them damaged, through bronze and silver: nothing goes."""
+    landing, lake = scratch(spark, "landing"), medallion.lake_at(scratch(spark, "lake"))
+    damaged = F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id")
+    kinds = sample.events(spark, sf_dir).select("event_id", "event_type")
+    lines = sample.drift_lines(spark, sf_dir).select("value", damaged).join(kinds, "event_id")
+    cut = F.when(F.col("event_type") == "error", F.expr("substr(value, 1, length(value) - 1)"))
+    lines.select(F.coalesce(cut, "value").alias("value")).write.text(landing)
+    bronze = medallion.load_bronze(spark, landing, lake)
+    silver = medallion.load_silver(spark, lake, "run")
+    quarantine = read_path(spark, lake.quarantine)
+    counted = {
+        "bronze": bronze,
+        "bronze_damaged": bronze.filter(F.col(telemetry.CORRUPT).isNotNull()),
+        "bronze_rescued": bronze.filter(F.col(telemetry.RESCUED).isNotNull()),
+        "silver": silver,
+        "quarantine": quarantine,
+        "quarantine_damaged": quarantine.filter(F.col(telemetry.CORRUPT).isNotNull()),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in counted.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query()
 def drift_rescue(spark, sf_dir):
     """Unknown fields of every line, read back from the rescued object."""
@@ -679,9 +705,9 @@ def stream_leaderboard(spark, sf_dir):
 @query()
 def stream_plant_machines(spark, sf_dir):
     base = scratch(spark, "plants")
-    counted = stream_risk.approximate_plant_machines(_silver_stream(spark, sf_dir))
-    _finish(stream_risk.stream_upserts(counted, f"{base}/rows", f"{base}/checkpoint"))
-    return stream_risk.read_upserts(spark, f"{base}/rows", schemas.PLANT_DAY)
+    days = stream_risk.machine_days(_silver_stream(spark, sf_dir))
+    _finish(stream_risk.stream_upserts(days, f"{base}/rows", f"{base}/checkpoint"))
+    return stream_risk.plant_machines(spark, f"{base}/rows")
 
 
 @query(*SLIDING_AVERAGES)

@@ -79,14 +79,23 @@ def fault_sessions(silver: DataFrame, gap: str = "30 minutes", delay: str = "1 h
     )
 
 
-def approximate_plant_machines(silver: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Machines seen per plant and day; streams allow only approximate distinct counts."""
-    windows = (
+def machine_days(silver: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Which machines sent readings on which day, to be written as upserts."""
+    seen = (
         silver.withWatermark("event_timestamp", delay)
-        .groupBy(F.window("event_timestamp", "1 day"), "plant_id")
-        .agg(F.approx_count_distinct("machine_id").alias("machines"))
+        .groupBy(F.window("event_timestamp", "1 day"), "machine_id", "plant_id")
+        .agg(F.count(F.lit(1)).alias("readings"))
     )
-    return windows.withColumn("event_date", F.to_date("window.start")).drop("window")
+    return seen.withColumn("event_date", F.to_date("window.start")).drop("window")
+
+
+def plant_machines(spark: SparkSession, path: str) -> DataFrame:
+    """Machines seen per plant and day, exact: written machine-days are counted when read.
+
+    Repeated versions of a machine-day collapse in the first grouping.
+    """
+    days = spark.read.parquet(path).select(*schemas.MACHINE_DAY).distinct()
+    return days.groupBy(*schemas.PLANT_DAY).agg(F.count("machine_id").alias("machines"))
 
 
 def stream_upserts(

@@ -68,7 +68,10 @@ def append_stream(
 def dedupe_stream(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Suppress resends that come within the watermark delay.
 
-    Readings carry no event id, so machine and instant identify one.
+    Readings carry no event id, so machine and instant identify one. Readings
+    that lack either all pass.
     """
-    marked = readings.withWatermark("event_timestamp", delay)
-    return marked.dropDuplicatesWithinWatermark(["machine_id", "event_timestamp"])
+    named = F.col("machine_id").isNotNull() & F.col("event_timestamp").isNotNull()
+    marked = readings.filter(named).withWatermark("event_timestamp", delay)
+    once = marked.dropDuplicatesWithinWatermark(["machine_id", "event_timestamp"])
+    return once.unionByName(readings.filter(~named))

@@ -75,11 +75,11 @@ def test_baseline_of_zero_has_no_deviation(silver, machines):
 
 def test_inventory(spark):
     levels = spark.createDataFrame(
-        [("a", "S1", 10, 100, 50), ("b", "S1", 50, 100, 50), ("c", "S2", 100, 100, 50)],
+        [("a", "S1", 10, 100, 50), ("b", "S1", 50, 100, 50), ("c", "S2", 100, 100, 50), ("d", "S2", 30, 20, 40)],
         "part_id STRING, supplier_id STRING, stock_level INT, reorder_point INT, safety_stock INT",
     )
     alerts = {r.part_id: (r.severity, r.shortfall) for r in reference.reorder_alerts(levels).collect()}
-    assert alerts == {"a": ("CRITICAL", 90), "b": ("REORDER", 50)}
+    assert alerts == {"a": ("CRITICAL", 90), "b": ("REORDER", 50), "d": ("CRITICAL", 10)}
     costs = spark.sql("SELECT 'S1' AS supplier_id, 's' AS supplier_name, CAST(0.1 AS DECIMAL(10,2)) AS unit_cost")
     values = {r.part_id: r.stock_value for r in reference.inventory_value(levels, costs).collect()}
     assert values == {"a": Decimal("1.00"), "b": Decimal("5.00")}

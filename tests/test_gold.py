@@ -160,3 +160,14 @@ def test_compact_is_a_projection(silver):
     row = gold.compact(full).first().asDict()
     whole = full.first().asDict()
     assert len(row) == 12 and all(whole[k] == v for k, v in row.items())
+
+
+def test_order_of_the_gold_measures(silver):
+    from millwatch.operators.gold import gold_risk
+
+    names = [c for c in gold_risk(silver({})).columns if c.endswith("_24h")]
+    assert names == [
+        "avg_temp_24h", "max_temp_24h", "temp_stddev_24h", "avg_vibration_24h", "max_vibration_24h",
+        "avg_pressure_24h", "fault_event_count_24h", "overheat_count_24h", "vibration_anomaly_count_24h",
+        "error_code_count_24h", "total_readings_24h",
+    ]

@@ -147,3 +147,14 @@ def test_differences_count_copies(spark):
     right = spark.createDataFrame([(1,), (2,), (3,)], "n INT")
     rows = quality.frame_differences(left, right).collect()
     assert {(r.n, r.surplus_left) for r in rows} == {(1, 1), (3, -1)}
+
+
+def test_reject_filter_is_pushed_and_finds_nan(spark, bronze, tmp_path):
+    from millwatch.operators import quality
+
+    rows = bronze({}, {"vibration_hz": float("nan")}, {"temperature_celsius": None}, {"vibration_hz": 1e9})
+    rows.write.parquet(str(tmp_path / "b"))
+    rejected = quality.quarantine_all(spark.read.parquet(str(tmp_path / "b")))
+    assert rejected.count() == 3
+    plan = rejected._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(" in plan

@@ -146,6 +146,7 @@ def test_drifted_batches_and_resends(spark, bronze):
     )
     assert {tuple(r) for r in merged.collect()} == {(1, None), (2, "x")}
     assert drop_resends(bronze({}, {}, {"machine_id": "M2"})).count() == 2
+    assert drop_resends(bronze({"machine_id": None}, {"machine_id": None}, {"event_timestamp": None})).count() == 3
 
 
 def test_identifiers(spark):

@@ -171,15 +171,16 @@ def test_resends_are_suppressed_across_batches(spark, landing, tmp_path):
         landing.add({}, {"event_timestamp": at(1)}, {"event_timestamp": at(1)}, {"machine_id": None})
     kept = streaming.dedupe_stream(landing.stream())
     streaming.append_stream(kept, str(tmp_path / "k"), str(tmp_path / "c")).awaitTermination()
-    assert sinks.written_count(spark, str(tmp_path / "k")) == 3
+    assert sinks.written_count(spark, str(tmp_path / "k")) == 4  # both without a machine
 
 
-def test_approximate_machines_per_plant(spark, landing, tmp_path):
-    landing.add(*mixed_rows(0))
-    counted = risk.approximate_plant_machines(silver_from_bronze(landing.stream()))
-    risk.stream_upserts(counted, str(tmp_path / "m"), str(tmp_path / "c")).awaitTermination()
-    row = risk.read_upserts(spark, str(tmp_path / "m"), ["plant_id", "event_date"]).first()
-    assert row.machines == 3
+def test_machines_per_plant_are_exact(spark, landing, tmp_path):
+    landing.add(*[{"machine_id": f"M{k}"} for k in range(700)])
+    landing.add(*[{"machine_id": f"M{k}", "event_timestamp": at(5)} for k in range(500, 1200)])
+    days = risk.machine_days(silver_from_bronze(landing.stream()))
+    risk.stream_upserts(days, str(tmp_path / "m"), str(tmp_path / "c")).awaitTermination()
+    row = risk.plant_machines(spark, str(tmp_path / "m")).first()
+    assert row.machines == 1200
 
 
 def test_json_stream_sink_writes_files_per_task(spark, landing, tmp_path):
