@@ -11,7 +11,10 @@ import numpy as np
 from millwatch.llm.common import missing
 
 #: Words a worker remembers; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+
+#: New words that are encoded in one call.
+TOGETHER = 4000
 
 #: A word with the white space before it. The tokenizer never joins a character that is no
 #: white space with white space after it, so the ids of a text are those of these parts.
@@ -20,20 +23,30 @@ _PART = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 #: Other characters that are white space for some readers: such texts are encoded in one go.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 
-#: What keeps a text from being cut at single blanks and line feeds, which is faster.
-_UNEVEN = re.compile(r"[ \n][ \n]|[\x00\t\x0b-\r]|^[ \n]|[ \n]\Z")
+#: Those of them that ``str.split`` doesn't split at, and the mark of ``_AS_IT_IS``.
+_UNSPLIT = "\x00\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\ufeff"
+
+#: Signs at the end of a word. After a letter or digit they are never joined with it.
+_SIGNS = re.compile(r"(?<=[A-Za-z0-9À-ÖØ-öø-ɏ])[!-/:-@\[-`{-~]+\Z")
 
 _AS_IT_IS = "\x00"
 
 
+def _is_even(text: str) -> bool:
+    """Are the blanks between words single blanks and line feeds, with none at either end?"""
+    return " ".join(text.split()) == text.replace("\n", " ") and not any(c in text for c in _UNSPLIT)
+
+
 def parts_of(text: str) -> list[str]:
     """Names of the parts of a text: a word stands for a blank and the word, a line feed and a
     word for themselves, and what follows a zero character for itself."""
+    if not text:
+        return []
+    if _is_even(text):
+        return (_AS_IT_IS + text.replace("\n", " \n")).split(" ")
     if _UNSURE.search(text):
         return [_AS_IT_IS + text]
-    if not text or _UNEVEN.search(text):
-        return [_AS_IT_IS + p for p in _PART.findall(text)]
-    return (_AS_IT_IS + text.replace("\n", " \n")).split(" ")
+    return [_AS_IT_IS + p for p in _PART.findall(text)]
 
 
 def _spelled(part: str) -> str:
@@ -60,16 +73,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.n_bytes[number] = len(token)  # a character of a token stands for a byte
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """The ids of words that begin with white space and don't end with it, in one call: the
+        bytes that the ids stand for show where each word ends."""
+        found = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        ends = np.cumsum([len(w.encode()) for w in words])
+        reached = np.cumsum(self.n_bytes[ids])
+        last = np.minimum(np.searchsorted(reached, ends), len(ids) - 1)
+        if not np.array_equal(reached[last], ends) or reached[-1] != ends[-1]:
+            return self._each(words)
+        raw, cuts = ids.tobytes(), (4 * (last + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def _learn(self, new: list[str]) -> None:
+        known = self.known
+        signed: dict[str, tuple[str, str]] = {}
+        plain: dict[str, None] = {}
+        for part in new:
+            signs = _SIGNS.search(part, max(0, len(part) - 64)) if not part[-1].isalnum() else None
+            if signs is None:
+                plain[part] = None
+            else:
+                stem, tail = part[: signs.start()], _AS_IT_IS + signs.group()
+                signed[part] = stem, tail
+                plain.update((p, None) for p in (stem, tail) if p not in known)
+        alone = [p for p in plain if p[0] == _AS_IT_IS]
+        words = [p for p in plain if p[0] != _AS_IT_IS]
+        known.update(zip(alone, self._each([_spelled(p) for p in alone]), strict=True))
+        for start in range(0, len(words), TOGETHER):
+            some = words[start : start + TOGETHER]
+            known.update(zip(some, self._joined([_spelled(p) for p in some]), strict=True))
+        for part, (stem, tail) in signed.items():
+            known[part] = known[stem] + known[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         parts = [parts_of(t) for t in texts]
-        new = missing(self.known, set().union(*parts), REMEMBERED)
-        self.known.update(zip(new, self._ids([_spelled(p) for p in new]), strict=True))
+        self._learn(missing(self.known, set().union(*parts), REMEMBERED))
         known = self.known
         return [b"".join([known[p] for p in found]) for found in parts]

@@ -65,7 +65,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 def missing(known: dict, used: set, most: int) -> list:
     """The keys of ``used`` that ``known`` lacks. Where they would make it more than ``most``,
     it first forgets all but the keys in use now, which keeps the frequent ones."""
-    new = [k for k in used if k not in known]
+    new = list(used.difference(known))
     if len(known) + len(new) > most:
         kept = {k: known[k] for k in used if k in known}
         known.clear()

@@ -68,6 +68,20 @@ def test_byte_bpe_ids(text):
     assert np.frombuffer(_cached[2].encode([text])[0], "<u4").tolist() == ids
 
 
+def test_byte_bpe_of_even_texts_and_signs(reference_bpe):
+    """Words in one call, signs apart, and characters at the edges of what counts as a letter."""
+    rng = random.Random(8)
+    bits = ["a", "Z", "é", "ß", "Ж", "9", "½", "²", "ª", "×", "漢", "\u0301", "\U0001f600", "'s", "'", ".", ",", "$", "&&"]
+    bits += ["`", "hello", "ɏ", "ɐ", "_", "ⅷ", "\u180e", "\u200b", "\x00", "<|endoftext|>"]
+    word = lambda: "".join(rng.choice(bits) for _ in range(rng.randint(1, 5)))
+    texts = [rng.choice([" ", "\n", "\t"]).join(word() for _ in range(rng.randint(1, 8))) for _ in range(8000)]
+    texts += [" ".join(word() + "!" * 200 for _ in range(20)), "", "x" * 9000 + "?" * 9000]
+    expected = [e.ids for e in reference_bpe.encode_batch(texts, add_special_tokens=False)]
+    coder = Encoder(BYTES)
+    got = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 500) for b in coder.encode(texts[k : k + 500])]
+    assert got == expected
+
+
 def test_long_words_and_blanks(pieces):
     codec = sentencepiece_codec.codec(PIECES)
     rng = random.Random(2)
