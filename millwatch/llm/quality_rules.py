@@ -224,8 +224,10 @@ def quality_counts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
-    The measures are computed again beside the texts, so no text is shuffled.
+    Texts are measured once: they are written with their counts, and the limits and the filter
+    both read that table, so no text is shuffled. A filter before the write would be pushed
+    below the counts and compute them twice.
     """
-    counted = with_counts(docs.select("doc_id", "text", "lang", "source")).drop("text")
-    limit_rows = written(limits(with_measures(counted)), "quality-limits")
-    return judged(with_measures(with_counts(docs)), limit_rows).filter("__q_kept").select(*docs.columns)
+    measured = with_measures(written(with_counts(docs), "quality-counts"))
+    limit_rows = written(limits(measured), "quality-limits")
+    return judged(measured, limit_rows).filter("__q_kept").select(*docs.columns)
