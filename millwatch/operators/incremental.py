@@ -31,8 +31,10 @@ def refreshed_gold(gold: DataFrame, silver: DataFrame, touched: DataFrame) -> Da
 def vanished_days(touched: DataFrame, remaining: DataFrame) -> DataFrame:
     """Touched plant-days without any row left in silver or gold, to be dropped.
 
-    Overwriting only the touched partitions never empties one.
+    Overwriting only the touched partitions never empties one. Only touched partitions of
+    ``remaining`` are looked at.
     """
-    left = remaining.select(*schemas.PLANT_DAY).distinct()
+    near = remaining.select(*schemas.PLANT_DAY).join(touched, list(schemas.PLANT_DAY), "left_semi")
+    left = near.distinct()
     gone = touched.join(left, list(schemas.PLANT_DAY), "left_anti")
     return gone.select("plant_id", F.col("event_date").cast("string").alias("event_date"))
