@@ -120,3 +120,14 @@ def test_chained_changes_join_without_broadcasts(spark, flag):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_emptied_days_read_touched_partitions_only(spark, tmp_path):
+    days = "concat('P', id % 4) AS plant_id", "date_add(date'2024-01-01', cast(id % 20 AS int)) AS event_date"
+    spark.range(80).selectExpr(*days, "id").write.partitionBy("plant_id", "event_date").parquet(f"{tmp_path}/silver")
+    named = spark.sql("SELECT explode(array('P1', 'P9')) AS plant_id, date'2024-01-02' AS event_date")
+    named.write.parquet(f"{tmp_path}/touched")
+    touched = spark.read.parquet(f"{tmp_path}/touched").filter("plant_id > 'P0'")
+    gone = incremental.vanished_days(touched, spark.read.parquet(f"{tmp_path}/silver"))
+    assert "dynamicpruning" in gone._jdf.queryExecution().toString()
+    assert [tuple(r) for r in gone.collect()] == [("P9", "2024-01-02")]
