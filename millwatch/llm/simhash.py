@@ -19,9 +19,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from millwatch.llm.common import map_slices, scratch_path, utf8, whole_text, written
+from millwatch.llm.common import (
+    map_slices,
+    one_of_each,
+    scratch_path,
+    text_key,
+    utf8,
+    whole_text,
+    written,
+)
 
 SEED = 42
 BLOCKS = 8
@@ -58,17 +65,22 @@ def fingerprint(text: bytes, words: int = 4) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and the fingerprint ``fp`` (64 bits as a signed bigint) of every row."""
+def fingerprints(docs: DataFrame, words: int = 4, keyed: bool = False) -> DataFrame:
+    """doc_id and the fingerprint ``fp`` (64 bits as a signed bigint) of every row, and where
+    ``keyed`` the text_key."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t, words) for t in utf8(part.column("text"))], np.uint64)
-        return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
-        )
-
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    return map_slices(source, work, "doc_id bigint, fp bigint")
+        columns = {"doc_id": part.column("doc_id"), "fp": pa.array(found.view(np.int64))}
+        if keyed:
+            columns["text_key"] = part.column("text_key")
+        return pa.RecordBatch.from_pydict(columns)
+
+    key = [text_key().alias("text_key")] if keyed else []
+    source = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), *key
+    )
+    return map_slices(source, work, "doc_id bigint, fp bigint" + ", text_key binary" * keyed)
 
 
 _LOW = 0x5555555555555555
@@ -239,6 +251,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def rooted_prints(prints: DataFrame, bits: int) -> DataFrame:
+    """Each fingerprint once: fp, the least id of its rows, and the root of its component."""
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fps")
+    roots = components(links(distinct, bits))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id.
 
@@ -253,35 +274,21 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
     empty result. Other columns are not read.
     """
     prints = written(fingerprints(docs, words), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fps")
-    roots = components(links(distinct, bits))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = rooted_prints(prints, bits)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
-    """The documents that name their component, with all their columns.
+    """One row of each component, with all its columns: that of the smallest id.
 
-    Rows that repeat that id count once. Where no row of a component has an id, one
-    of its rows of each distinct text stays.
+    Rows are told apart by id and text. Those without an id come last; of equal or lacking ids
+    the smallest text key stays. Rows that repeat id and text count once.
     """
-    found = near_duplicates(docs, words, bits)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep_id")
-    )
-    kept = docs.join(stays.distinct(), docs["doc_id"].eqNullSafe(F.col("__keep_id")), "left_semi")
-    same = F.when(F.col("doc_id").isNull(), F.xxhash64(whole_text()))
-    first = Window.partitionBy("doc_id", "__same").orderBy(F.lit(0))
-    return (
-        kept.withColumn("__same", same)
-        .withColumn("__nth", F.row_number().over(first))
-        .filter("__nth = 1")
-        .select(*docs.columns)
-    )
+    prints = written(fingerprints(docs, words, keyed=True), "fingerprints")
+    rooted = prints.join(rooted_prints(prints, bits).select("fp", "root"), "fp")
+    return one_of_each(docs, rooted)
 
 
 def hex16(fp: str | Column = "fp") -> Column:
