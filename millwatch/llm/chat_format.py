@@ -48,13 +48,24 @@ def text_parts(turns: DataFrame) -> DataFrame:
     return turns.select("conv_id", "turn", "role", F.array(part).alias("parts"))
 
 
-def _visited(part: Column) -> Column:
-    """A part as a piece of the formatted text; an unknown type is taken for text."""
-    kind = F.coalesce(part["type"], F.lit("text"))
-    placed = F.concat(F.lit("<|"), kind, F.lit("|>"))
-    return F.when(kind.isin(*TOKENS_PER_UNIT), placed).otherwise(
-        escape(F.coalesce(part["text"], F.lit("")))
-    )
+def _visited(parts: Column) -> Column:
+    """The formatted content of a turn; a part of unknown type is taken for text.
+
+    Neighbouring texts are escaped as one, or a control string dealt over them would pass.
+    """
+
+    def add(seen: Column, part: Column) -> Column:
+        kind = F.coalesce(part["type"], F.lit("text"))
+        placed = F.concat(seen["done"], escape(seen["said"]), F.lit("<|"), kind, F.lit("|>"))
+        said = F.concat(seen["said"], F.coalesce(part["text"], F.lit("")))
+        is_placed = kind.isin(*TOKENS_PER_UNIT)
+        return F.struct(
+            F.when(is_placed, placed).otherwise(seen["done"]).alias("done"),
+            F.when(is_placed, F.lit("")).otherwise(said).alias("said"),
+        )
+
+    nothing = F.struct(F.lit("").alias("done"), F.lit("").alias("said"))
+    return F.aggregate(parts, nothing, add, lambda seen: F.concat(seen["done"], escape(seen["said"])))
 
 
 def _attachment(part: Column, turn: Column) -> Column:
@@ -78,7 +89,7 @@ def format_chats(turns: DataFrame, learned_role: str = "assistant") -> DataFrame
     empty table gives an empty result. Other columns are not read.
     """
     parts = F.coalesce("parts", F.array().cast(f"array<{PART}>"))
-    content = F.concat_ws("", F.transform(parts, _visited))
+    content = _visited(parts)
     attached = F.filter(parts, lambda p: p["type"].isin(*TOKENS_PER_UNIT))
     role = F.coalesce("role", F.lit(""))
     rows = turns.select(
