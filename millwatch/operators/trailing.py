@@ -170,6 +170,14 @@ def sliding_risk(
         .groupBy(*KEY, "__step")
         .agg(*partials())
     )
+    return windows_of(steps, hours, step_hours, weights)
+
+
+def windows_of(
+    steps: DataFrame, hours: int = 24, step_hours: int = 1, weights: RiskWeights = WEIGHTS
+) -> DataFrame:
+    """The windows of ``sliding_risk`` from the totals of their steps."""
+    step = step_hours * cells.HOUR
     first = F.col("__step") - F.lit((hours // step_hours - 1) * step)
     starts = F.sequence(first, F.col("__step"), F.lit(step).cast("bigint"))
     windows = (

@@ -517,3 +517,5 @@ ORACLE_SQL: dict[str, str] = {
       WHERE sessions.session_end <= {WATERMARK.format("faults")}""",
 }
 ORACLE_SQL["stream_machine_enrich"] = ORACLE_SQL["machine_enrich"]
+ORACLE_SQL["stream_sliding_24h_whole"] = ORACLE_SQL["sliding_24h"]
+ORACLE_SQL["stream_fault_sessions_whole"] = ORACLE_SQL["fault_sessions"]

@@ -724,3 +724,21 @@ def stream_fault_sessions(spark, sf_dir):
     found = stream_risk.fault_sessions(_silver_stream(spark, sf_dir))
     _finish(stream_silver.append_stream(found, f"{base}/rows", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/rows")
+
+
+@query(*SLIDING_AVERAGES)
+def stream_sliding_24h_whole(spark, sf_dir):
+    """The windows still open too, built from streamed hourly totals when read."""
+    base = scratch(spark, "steps")
+    steps = stream_risk.step_totals(_silver_stream(spark, sf_dir))
+    _finish(stream_risk.stream_upserts(steps, f"{base}/rows", f"{base}/checkpoint"))
+    return stream_risk.whole_windows(spark, f"{base}/rows")
+
+
+@query()
+def stream_fault_sessions_whole(spark, sf_dir):
+    """The sessions still open too, built from streamed cells when read."""
+    base = scratch(spark, "fault-cells")
+    found = stream_risk.fault_cells(_silver_stream(spark, sf_dir))
+    _finish(stream_risk.stream_upserts(found, f"{base}/rows", f"{base}/checkpoint"))
+    return stream_risk.whole_sessions(spark, f"{base}/rows")

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millwatch import schemas
 from millwatch.config import WEIGHTS, RiskWeights
 from millwatch.functions import measures
-from millwatch.operators import serving, trailing
+from millwatch.operators import serving, sessions, trailing
 
 VERSION = "version"
 
@@ -79,6 +79,36 @@ def fault_sessions(silver: DataFrame, gap: str = "30 minutes", delay: str = "1 h
     )
 
 
+def _cell_totals(rows: DataFrame, width: str, delay: str, name: str, totals: list) -> DataFrame:
+    cell = F.window("event_timestamp", width).alias("__in")
+    found = rows.withWatermark("event_timestamp", delay).groupBy(cell, *trailing.KEY).agg(*totals)
+    return found.withColumn(name, F.unix_micros("__in.start")).drop("__in")
+
+
+def step_totals(silver: DataFrame, step_hours: int = 1, delay: str = "1 hour") -> DataFrame:
+    """Totals of each machine and step, to be written as upserts for ``whole_windows``."""
+    return _cell_totals(silver, f"{step_hours} hours", delay, "__step", trailing.partials())
+
+
+def whole_windows(
+    spark: SparkSession, path: str, hours: int = 24, step_hours: int = 1, weights: RiskWeights = WEIGHTS
+) -> DataFrame:
+    """All sliding windows of written step totals, those still open with what they have so far."""
+    steps = read_upserts(spark, path, (*trailing.KEY, "__step"))
+    return trailing.windows_of(steps, hours, step_hours, weights)
+
+
+def fault_cells(silver: DataFrame, gap_minutes: int = 30, delay: str = "1 hour") -> DataFrame:
+    """Totals of faults in cells as long as the gap, to be written as upserts for ``whole_sessions``."""
+    faults = silver.filter("is_fault_event")
+    return _cell_totals(faults, f"{gap_minutes} minutes", delay, "__cell", sessions.cell_totals())
+
+
+def whole_sessions(spark: SparkSession, path: str, gap_minutes: int = 30) -> DataFrame:
+    """All fault sessions of written cells, those still open with what they have so far."""
+    return sessions.joined_cells(read_upserts(spark, path, sessions.CELL), gap_minutes)
+
+
 def machine_days(silver: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Which machines sent readings on which day, to be written as upserts."""
     seen = (

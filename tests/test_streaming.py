@@ -189,3 +189,17 @@ def test_json_stream_sink_writes_files_per_task(spark, landing, tmp_path):
     sinks.stream_json_lines(landing.stream(), out, str(tmp_path / "c")).awaitTermination()
     assert spark.read.json(out).count() == 40
     assert len(list((tmp_path / "json").glob("part-*"))) == 1
+
+
+def test_whole_windows_and_sessions_equal_untrimmed_batch(spark, landing, tmp_path):
+    """Also those that the watermark has not closed; one file a batch, so that totals change."""
+    for day in range(2):
+        landing.add(*mixed_rows(day))
+    silver = silver_from_bronze(landing.batch())
+    for name, totals in (("w", risk.step_totals), ("f", risk.fault_cells)):
+        streamed = totals(silver_from_bronze(landing.stream(max_files=1)))
+        risk.stream_upserts(streamed, str(tmp_path / name), str(tmp_path / f"c{name}")).awaitTermination()
+    averages = {c: F.round(c, 9) for c in ("avg_temp_sliding", "avg_vibration_sliding")}
+    windows = risk.whole_windows(spark, str(tmp_path / "w"))
+    assert same(windows.withColumns(averages), trailing.sliding_risk(silver).withColumns(averages))
+    assert same(risk.whole_sessions(spark, str(tmp_path / "f")), sessions.fault_sessions(silver))
