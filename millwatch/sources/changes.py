@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch import schemas
@@ -13,11 +15,23 @@ def _wire_layout(table: str) -> str:
     return schemas.REFERENCE_TABLES[table].replace("DECIMAL(10,2)", "STRING")
 
 
+def _row(layout: str) -> str:
+    columns = (column.split(maxsplit=1) for column in re.split(r",(?![^(]*\))", layout))
+    return ", ".join(f"{name}: {kind}" for name, kind in columns)
+
+
+def _declared(events: DataFrame, table: str) -> DataFrame:
+    """The events of one table, both rows with the types its layout declares."""
+    found = events.filter(F.col("source.table") == table)
+    if _wire_layout(table) == schemas.REFERENCE_TABLES[table]:
+        return found
+    row = f"STRUCT<{_row(schemas.REFERENCE_TABLES[table])}>"
+    typed: dict[str, Column] = {c: F.col(c).cast(row) for c in ("before", "after")}
+    return found.withColumns(typed)
+
+
 def envelope_layout(table: str) -> str:
-    row = ", ".join(
-        f"{name}: {kind}"
-        for name, kind in (column.split(maxsplit=1) for column in _wire_layout(table).split(","))
-    )
+    row = _row(_wire_layout(table))
     return (
         f"payload STRUCT<before: STRUCT<{row}>, after: STRUCT<{row}>, op: STRING, "
         "ts_ms: BIGINT, source: STRUCT<table: STRING, lsn: BIGINT>>"
@@ -27,10 +41,10 @@ def envelope_layout(table: str) -> str:
 def read_changes(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Change files of all tables; keeps the events of one."""
     events = spark.read.schema(envelope_layout(table)).json(path)
-    return events.select("payload.*").filter(F.col("source.table") == table)
+    return _declared(events.select("payload.*"), table)
 
 
 def parse_changes(lines: DataFrame, table: str, text: str = "value") -> DataFrame:
     """The same envelopes held as text in a column."""
     event = F.from_json(text, envelope_layout(table)).alias("event")
-    return lines.select(event).select("event.payload.*").filter(F.col("source.table") == table)
+    return _declared(lines.select(event).select("event.payload.*"), table)

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import json
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from millwatch import schemas
 from millwatch.functions import cells
 from millwatch.operators import changes, quality
 from millwatch.sources import changes as feed
@@ -147,3 +149,24 @@ def test_global_row_number(spark, width, fan):
     rows = spark.createDataFrame([(p,) for p in places], "p BIGINT").repartition(7)
     numbered = cells.global_row_number(rows, "p", width, "n", fan).collect()
     assert {(r.p, r.n) for r in numbered} == {(p, i + 1) for i, p in enumerate(places)}
+
+
+@pytest.mark.parametrize("parsed", [False, True])
+def test_decimals_of_a_feed_keep_their_type(spark, tmp_path, parsed):
+    layout = schemas.REFERENCE_TABLES["suppliers"]
+    names = spark.createDataFrame([], layout).columns
+    row = dict.fromkeys(names) | {"supplier_id": "S1", "unit_cost": "12345678.91"}
+    line = json.dumps(
+        {"payload": {"before": None, "after": row, "op": "u", "ts_ms": 1, "source": {"table": "suppliers", "lsn": 1}}}
+    )
+    if parsed:
+        events = feed.parse_changes(spark.createDataFrame([(line,)], "value string"), "suppliers")
+    else:
+        (tmp_path / "a.json").write_text(line)
+        events = feed.read_changes(spark, str(tmp_path), "suppliers")
+    old = [tuple({"supplier_id": k, "unit_cost": Decimal("0.10")}.get(c) for c in names) for k in ("S1", "S2")]
+    base = spark.createDataFrame(old, layout)
+    after = changes.apply_changes(base, changes.flatten_changes(events, "supplier_id"), "supplier_id")
+    assert after.schema["unit_cost"].dataType.simpleString() == "decimal(10,2)"
+    got = {r.supplier_id: r.unit_cost for r in after.collect()}
+    assert got == {"S1": Decimal("12345678.91"), "S2": Decimal("0.10")}
