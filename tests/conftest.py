@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -10,13 +9,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 os.environ.setdefault("TZ", "UTC")
 
+from telemetry_support import BRONZE_LAYOUT, reading  # noqa: E402
+
 from millwatch.operators.bronze import to_bronze  # noqa: E402
 from millwatch.operators.silver import silver_from_bronze  # noqa: E402
 from millwatch.sources.session import build_session  # noqa: E402
 
-START = datetime(2024, 3, 1, tzinfo=UTC)
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
@@ -36,30 +34,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-BRONZE_LAYOUT = """
-    machine_id STRING, plant_id STRING, event_timestamp TIMESTAMP, temperature_celsius DOUBLE,
-    vibration_hz DOUBLE, pressure_bar DOUBLE, operational_status STRING, error_code STRING
-"""
-
-
-def at(minutes: float = 0, **parts) -> datetime:
-    return START + timedelta(minutes=minutes, **parts)
-
-
-def reading(**changes) -> tuple:
-    row = {
-        "machine_id": "MCH_0001",
-        "plant_id": "PLANT_MX_01",
-        "event_timestamp": at(),
-        "temperature_celsius": 70.0,
-        "vibration_hz": 50.0,
-        "pressure_bar": 3.0,
-        "operational_status": "RUNNING",
-        "error_code": None,
-    } | changes
-    return tuple(row.values())
-
-
 @pytest.fixture
 def bronze(spark):
     """Builds a bronze frame from partial readings."""
@@ -77,9 +51,3 @@ def silver(bronze):
         return silver_from_bronze(bronze(*rows))
 
     return build
-
-
-def final_plan(df) -> str:
-    """The physical plan after adaptive execution has finished."""
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]

@@ -4,7 +4,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import at
+from telemetry_support import at
 from pyspark.sql import functions as F
 
 from millwatch.config import DeliveryPolicy

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import at
+from telemetry_support import at
 
 from millwatch.operators import incremental, quality
 from millwatch.operators.gold import gold_risk

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query of the core against its SQL, on the smallest tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from millwatch.plans.oracle import ORACLE_SQL as SQL
+from millwatch.plans.queries import QUERIES
 
 SF = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +44,8 @@ def test_query_equals_sql(spark, database, name):
 
 def test_registered_names_match():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

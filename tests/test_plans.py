@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import at, final_plan
+from telemetry_support import at, final_plan
 
 from millwatch.operators import gold, incremental, quality, reference, serving
 from millwatch.plans.queries import QUERIES

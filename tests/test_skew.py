@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 import pytest
-from conftest import final_plan
+from telemetry_support import final_plan
 from pyspark.sql import functions as F
 
 from millwatch.operators import quality, reference, trailing

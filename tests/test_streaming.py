@@ -5,7 +5,7 @@ import os
 from datetime import timedelta
 
 import pytest
-from conftest import START, at
+from telemetry_support import START, at
 from pyspark.sql import functions as F
 
 from millwatch.operators import gold, quality, sessions, trailing

@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import at, final_plan
+from telemetry_support import at, final_plan
 from pyspark.sql import functions as F
 
 from millwatch.operators import sessions, trailing
