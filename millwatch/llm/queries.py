@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from millwatch.llm import (
     chat_format,
     exact_dedup,
+    filter_audit,
     langid,
+    orchard,
     packing,
     quality_rules,
     sentencepiece_codec,
     simhash,
     token_files,
     toxicity,
+    vector_dedup,
     wordpiece_counts,
 )
 from millwatch.llm.common import written
@@ -107,6 +110,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTES, END_ID)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_chat_format,
         op10_packing,
+        op11_embedding_dedup,
+        op12_filter_audit,
+        op13_centroid_clusters,
     )
 }
 
@@ -134,6 +152,49 @@ def _within_sql(measure: str) -> str:
     up = f"greatest(least({high} - {mid}, {mid} - {low}), {least}::DOUBLE)"
     return f"{most} AND m.{measure} >= {mid} - {spreads}::DOUBLE * {up}" if both else most
 
+def _clusters_sql(rounds: int = orchard.ROUNDS) -> str:
+    """Lloyd's rounds as one chain of tables: assign all, then move each centroid."""
+    parts = [
+        f"""p AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda x: floor({orchard.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {orchard.COMPONENTS}
+              AND len(embedding) = {orchard.COMPONENTS}
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('{orchard.SALT}' || vec_id::VARCHAR)) - 1 AS k, v
+            FROM p ORDER BY sha256('{orchard.SALT}' || vec_id::VARCHAR) LIMIT {orchard.CENTROIDS}
+        )"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+            SELECT row, vec_id, v, unnest(best) FROM (
+                SELECT row, any_value(vec_id) AS vec_id, any_value(p.v) AS v,
+                       min({{'distance': list_sum(list_transform(list_zip(p.v, c.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT, 'k': k}}) AS best
+                FROM p, c{r} c GROUP BY row)
+        )"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+            SELECT k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+                SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+                    SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n
+                    FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY k, i)
+                GROUP BY k) m USING (k)
+        )"""
+            )
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT vec_id, a.k::INT AS cluster, distance,
+               (sum(distance) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (k)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": rf"""
         WITH n AS (
@@ -219,4 +280,65 @@ ORACLE_SQL: dict[str, str] = {
                formatted_chars
         FROM chats
     """,
+    "op11_embedding_dedup": """
+        WITH RECURSIVE numbered AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        ), unit AS (
+            SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v
+            FROM numbered
+            WHERE len(v) = len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(v, lambda x: x <> 0))
+        ), link AS (
+            SELECT a.vec_id, b.vec_id AS other FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_dot_product(a.v, b.v) >= 0.9
+        ), reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT r.vec_id, l.other FROM reach r JOIN link l ON l.vec_id = r.other
+        ), counted AS (SELECT vec_id, count(*) AS n FROM link GROUP BY vec_id)
+        SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+        FROM reach LEFT JOIN counted USING (vec_id) GROUP BY vec_id
+    """,
+    "op12_filter_audit": rf"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda x: x <> '') AS words
+            FROM documents
+        ), told AS (
+            SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+        ), failing AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, map {{
+                'A': len(words) < 200,
+                'B': 100 * len(list_distinct(words)) < 50 * len(words),
+                'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text),
+                'D': regexp_matches(text, '[#$%&*|]'),
+                'E': doc_id > min(doc_id) OVER (PARTITION BY text)}} AS fails
+            FROM t LEFT JOIN told USING (doc_id)
+        ), masks AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+            JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+        ), steps AS (
+            SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS before
+            FROM orders, range(1, 6) AS r(step)
+        ), told_steps AS (
+            SELECT part, filter_order, step, f, n, good, toxic, fails[f] AS failed,
+                   len(list_filter(string_split(before, ''), lambda x: x <> '' AND coalesce(fails[x], false))) > 0 AS gone,
+                   len(list_filter(map_values(fails), lambda x: x)) AS n_failed
+            FROM masks, steps
+        ), counts AS (
+            SELECT part, filter_order, step, f,
+                   sum(CASE WHEN NOT gone AND NOT failed THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN NOT gone AND failed THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN gone AND failed THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN failed AND n_failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN NOT gone AND failed THEN good ELSE 0 END)::BIGINT AS good_lost,
+                   sum(CASE WHEN NOT gone AND failed THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+            FROM told_steps GROUP BY part, filter_order, step, f
+        )
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM counts
+    """,
+    "op13_centroid_clusters": _clusters_sql(),
 }
