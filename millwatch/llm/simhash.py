@@ -36,6 +36,9 @@ BLOCKS = 8
 #: Cells with more members are compared block against block, each pair of blocks by one task.
 BLOCK_MEMBERS = 4096
 
+#: Parts the neighbours of a node are dealt to while components are joined.
+HUB_PARTS = 64
+
 #: Shingles hashed at once: bounds the memory a very long text takes.
 _HASHED_AT_ONCE = 1 << 16
 
@@ -223,8 +226,12 @@ def components(edges: DataFrame) -> DataFrame:
             )
         else:  # the smaller neighbours of b are the a of its edges
             both = links_.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        joined = both.join(least.select("u", F.least("u", "m").alias("m")), "u")
+        # a node with very many neighbours meets its smallest one part by part
+        both = both.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(HUB_PARTS)))
+        parts = both.groupBy("u", "part").agg(F.min("v").alias("m"))
+        least = parts.groupBy("u").agg(F.min("m").alias("m"))
+        least = least.select("u", F.least("u", "m").alias("m"))
+        joined = both.join(parts.select("u", "part").join(least, "u"), ["u", "part"])
         if larger:
             return joined.filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         return joined.select(F.col("m").alias("a"), F.col("v").alias("b")).union(
