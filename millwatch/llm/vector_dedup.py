@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.llm.common import written
-from millwatch.llm.simhash import components
+from millwatch.llm.simhash import HUB_PARTS, components
 from millwatch.llm.vectors import counted, flat_components
 
 #: Buckets of one table a vector is placed in: its own and the nearest others.
@@ -178,8 +178,8 @@ def by_shape(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, units(batch.column("payload").take(pa.array(rows)).to_pylist(), bool(shape % 2), shape // 2)
 
 
-def placed(classes: DataFrame, hashing: dict[int, Hashing]) -> DataFrame:
-    """Every bucket (n, slot, code) a vector is placed in, with its node and its sketch."""
+def coded(classes: DataFrame, hashing: dict[int, Hashing]) -> DataFrame:
+    """The codes of each vector's buckets, by table, and its sketch: node, n, codes, sketch0, sketch1."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,25 +187,31 @@ def placed(classes: DataFrame, hashing: dict[int, Hashing]) -> DataFrame:
             for rows, unit in by_shape(batch):
                 wide = padded(unit)
                 use = hashing[wide.shape[1]]
-                sketch = use.sketches(wide)
-                for slot in range(use.tables):
-                    codes = use.codes(wide, slot)
-                    each = codes.shape[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(n[rows], each), pa.int32()),
-                            pa.array(np.full(each * len(rows), slot), pa.int32()),
-                            pa.array(codes.ravel(), pa.int32()),
-                            pa.array(np.repeat(nodes[rows], each), pa.int64()),
-                            *[pa.array(np.repeat(sketch[:, k].view(np.int64), each)) for k in (0, 1)],
-                        ],
-                        ["n", "slot", "code", "node", "sketch0", "sketch1"],
-                    )
-
-    layout = "n int, slot int, code int, node bigint, sketch0 bigint, sketch1 bigint"
+                codes, sketch = use.all_codes(wide), use.sketches(wide)
+                tables = pa.ListArray.from_arrays(
+                    np.arange(codes.shape[0] * codes.shape[1] + 1, dtype=np.int32) * codes.shape[2], codes.ravel()
+                )
+                each = np.arange(codes.shape[0] + 1, dtype=np.int32) * codes.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(nodes[rows]),
+                        pa.array(n[rows]),
+                        pa.ListArray.from_arrays(each, tables),
+                        *[pa.array(np.ascontiguousarray(sketch[:, k]).view(np.int64)) for k in (0, 1)],
+                    ],
+                    ["node", "n", "codes", "sketch0", "sketch1"],
+                )
+
+    layout = "node bigint, n int, codes array<array<int>>, sketch0 bigint, sketch1 bigint"
     return classes.select("node", "payload", "wide", "n").mapInArrow(work, layout)
 
 
+def placed(codes: DataFrame) -> DataFrame:
+    """Every bucket (n, slot, code) a vector is placed in, with its node and its sketch."""
+    tables = codes.select("n", "node", "sketch0", "sketch1", F.posexplode("codes").alias("slot", "each"))
+    return tables.select("n", "slot", F.explode("each").alias("code"), "node", "sketch0", "sketch1")
+
+
 _BUCKET = ["n", "slot", "code"]
 _GROUP = [*_BUCKET, "one", "other"]
 
@@ -214,15 +220,20 @@ def blocked(members: DataFrame, most: int) -> DataFrame:
     """The members of buckets that have company, in groups (bucket, one, other) of two blocks.
 
     A bucket of up to ``most`` members is one block. A hot one is cut by a hash of its members,
-    and each pair of blocks is a group, so that no task holds more than two blocks of it.
+    and each pair of blocks is a group, so that no task holds more than two blocks of it. Members
+    learn the size of their bucket by parts of it, so this gathers no hot bucket either.
     """
-    sizes = members.groupBy(*_BUCKET).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    cut = members.join(sizes, _BUCKET).withColumn("blocks", F.ceil(F.col("members") / most).cast("int"))
+    members = members.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(HUB_PARTS)))
+    parts = members.groupBy(*_BUCKET, "part").agg(F.count(F.lit(1)).alias("members"))
+    sizes = parts.groupBy(*_BUCKET).agg(F.sum("members").alias("members")).filter("members > 1")
+    known = parts.select(*_BUCKET, "part").join(sizes, _BUCKET)
+    cut = members.join(known, [*_BUCKET, "part"])
     return (
-        cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        cut.withColumn("blocks", F.ceil(F.col("members") / most).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"one": F.least("block", "partner"), "other": F.greatest("block", "partner")})
-        .drop("members", "blocks", "partner")
+        .drop("part", "members", "blocks", "partner")
     )
 
 
@@ -284,10 +295,11 @@ def likely(entries: DataFrame, least: float, block: int = SKETCH_BLOCK) -> DataF
 
 
 def linked(
-    near: DataFrame, classes: DataFrame, hashing: dict[int, Hashing], least: float, block: int = VECTOR_BLOCK
+    near: DataFrame, classes: DataFrame, codes: DataFrame, least: float, block: int = VECTOR_BLOCK
 ) -> DataFrame:
     """Per group: (a, b, 0) joins what is linked there, (a, NULL, n) counts new links of ``a``."""
     whole = near.join(classes.select("node", "payload", "wide", "weight"), "node")
+    whole = whole.join(codes.select("node", "codes"), "node")
 
     def work(key: tuple, part: pa.RecordBatch) -> list[pa.RecordBatch]:
         n, slot, code, one, other = key
@@ -303,23 +315,19 @@ def linked(
         if one != other:  # pairs inside one block have a group of their own
             close &= blocks[:, None] != blocks[None, :]
         close &= close.T  # sums may differ in the last bit by order
-        some = np.flatnonzero(close.any(axis=1))
-        if not len(some):
+        if not close.any():
             return []
-        wide = padded(unit[some])
-        use = hashing[wide.shape[1]]
-        codes = np.zeros((size, slot + 1, use.codes(wide[:1], 0).shape[1]), np.int32)
-        for t in range(slot + 1):
-            codes[some, t] = use.codes(wide, t)
+        flat = part.column("codes").flatten().flatten().to_numpy()
+        places = flat.reshape(size, len(part.column("codes")[0]), -1)
         new = np.zeros(size, np.int64)
         for at in range(0, size, 256):
             i, j = np.nonzero(close[at : at + 256])
             i += at
             for t in range(slot):  # pairs that share a bucket of an earlier table were counted there
-                met = (codes[i, t, :, None] == codes[j, t, None, :]).any(axis=(1, 2))
+                met = (places[i, t, :, None] == places[j, t, None, :]).any(axis=(1, 2))
                 i, j = i[~met], j[~met]
-            both = codes[i, slot, :, None] == codes[j, slot, None, :]
-            before = both & (codes[i, slot] < code)[:, :, None]
+            both = places[i, slot, :, None] == places[j, slot, None, :]
+            before = both & (places[i, slot] < code)[:, :, None]
             first = ~before.any(axis=(1, 2))
             np.add.at(new, i[first], weight[j[first]])
         root = np.arange(size)
@@ -366,9 +374,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, probes: int = PROBES, r
     padded_to = F.pow(F.lit(2), F.ceil(F.log2(F.greatest("n", F.lit(2))))).cast("int")  # 31 values at most
     widths = classes.groupBy(padded_to.alias("width")).agg(F.count(F.lit(1)).alias("vectors")).collect()
     hashing = {w["width"]: fitted(w["width"], w["vectors"], least, probes, recall) for w in widths}
-    entries = written(placed(classes, hashing), "vector-buckets")
-    near = written(likely(entries, least), "vector-company")
-    found = written(linked(near, classes, hashing, least), "vector-links")
+    codes = written(coded(classes, hashing), "vector-codes")
+    near = written(likely(placed(codes), least), "vector-company")
+    found = written(linked(near, classes, codes, least), "vector-links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("b IS NOT NULL").select("a", "b"))
     rooted = (
