@@ -8,9 +8,9 @@ from functools import lru_cache
 
 import numpy as np
 
-from millwatch.llm.common import missing
+from millwatch.llm.common import forget_long, missing
 
-#: Words a worker remembers; then it starts anew.
+#: Words a worker remembers; then it starts anew. Long ones are not remembered.
 REMEMBERED = 1_000_000
 
 #: New words that are encoded in one call.
@@ -62,9 +62,10 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    """Encodes texts exactly as the tokenizers library does, without special tokens.
+    """Encodes texts exactly as the tokenizers library does without adding special tokens.
 
-    Strings that look like special tokens are ordinary text.
+    The library cuts texts at the strings of special tokens and gives those their ids; a word
+    that holds one is left to it as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -72,7 +73,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(a.lstrip or a.rstrip or a.normalized or re.search(r"\s", a.content) for a in added):
+            raise ValueError("special tokens that take white space with them can't be encoded by words")
+        self.special = [a.content for a in added]
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -86,9 +90,10 @@ class Encoder:
     def _joined(self, words: list[str]) -> list[bytes]:
         """The ids of words that begin with white space and don't end with it, in one call: the
         bytes that the ids stand for show where each word ends."""
-        found = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
+        text = "".join(words)
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         ids = np.array(found.ids, "<u4")
-        ends = np.cumsum([len(w.encode()) for w in words])
+        ends = np.cumsum(list(map(len, words if text.isascii() else map(str.encode, words))))
         reached = np.cumsum(self.n_bytes[ids])
         last = np.minimum(np.searchsorted(reached, ends), len(ids) - 1)
         if not np.array_equal(reached[last], ends) or reached[-1] != ends[-1]:
@@ -96,30 +101,37 @@ class Encoder:
         raw, cuts = ids.tobytes(), (4 * (last + 1)).tolist()
         return [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
-    def _learn(self, new: list[str]) -> None:
-        known = self.known
-        signed: dict[str, tuple[str, str]] = {}
-        plain: dict[str, None] = {}
+    def _learn(self, new: list[str], special: bool) -> None:
+        known, plain, whole = self.known, set(), []
+        signed, stems, tails = [], [], []
         for part in new:
-            signs = _SIGNS.search(part, max(0, len(part) - 64)) if not part[-1].isalnum() else None
+            if special and any(s in part for s in self.special):
+                whole.append(part)
+                continue
+            signs = None if part[-1].isalnum() else _SIGNS.search(part, max(0, len(part) - 64))
             if signs is None:
-                plain[part] = None
+                plain.add(part)
             else:
-                stem, tail = part[: signs.start()], _AS_IT_IS + signs.group()
-                signed[part] = stem, tail
-                plain.update((p, None) for p in (stem, tail) if p not in known)
-        alone = [p for p in plain if p[0] == _AS_IT_IS]
-        words = [p for p in plain if p[0] != _AS_IT_IS]
+                signed.append(part)
+                stems.append(part[: signs.start()])
+                tails.append(_AS_IT_IS + signs.group())
+        plain.update(stems, tails)
+        plain = plain.difference(known)  # looks each up; an update in place would go through all known
+        alone = [p for p in plain if p[0] == _AS_IT_IS] + whole
         known.update(zip(alone, self._each([_spelled(p) for p in alone]), strict=True))
+        words = [p for p in plain if p[0] != _AS_IT_IS]
         for start in range(0, len(words), TOGETHER):
             some = words[start : start + TOGETHER]
-            known.update(zip(some, self._joined([_spelled(p) for p in some]), strict=True))
-        for part, (stem, tail) in signed.items():
-            known[part] = known[stem] + known[tail]
+            spelled = [p if p[0] == "\n" else " " + p for p in some]
+            known.update(zip(some, self._joined(spelled), strict=True))
+        known.update(zip(signed, map(bytes.__add__, map(known.__getitem__, stems), map(known.__getitem__, tails)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         parts = [parts_of(t) for t in texts]
-        self._learn(missing(self.known, set().union(*parts), REMEMBERED))
-        known = self.known
-        return [b"".join([known[p] for p in found]) for found in parts]
+        new = missing(self.known, set().union(*parts), REMEMBERED)
+        self._learn(new, any(s in t for s in self.special for t in texts))
+        look_up = self.known.__getitem__
+        out = [b"".join(map(look_up, found)) for found in parts]
+        forget_long(self.known, new)
+        return out

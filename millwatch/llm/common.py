@@ -99,6 +99,18 @@ def missing(known: dict, used: set, most: int) -> list:
     return new
 
 
+#: Characters of the longest word that a worker remembers.
+LONGEST_REMEMBERED = 48
+
+
+def forget_long(known: dict, new: list[str]) -> None:
+    """Drop the long ones of the words just learned: so the memory of words is bounded in bytes,
+    even where texts without blanks are one word."""
+    for word in new:
+        if len(word) > LONGEST_REMEMBERED:
+            known.pop(word, None)
+
+
 def drawn_by_hash(df: DataFrame, classes: str, per_class: int, salt: str) -> DataFrame:
     """About ``per_class`` rows of each value of ``classes``, all of a rarer one.
 

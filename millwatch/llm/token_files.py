@@ -34,6 +34,9 @@ FILE_TOKENS = 2_000_000
 
 #: _LENGTHS[control byte] are the byte counts of its four places.
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
+
+#: Ids below this are counted in a table.
+_COUNTED = 1 << 22
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
@@ -71,15 +74,25 @@ class Documents:
 
 def to_bytes(docs: Documents) -> bytes:
     """The file of some documents. Equally frequent ids are listed in ascending order."""
-    ids, where, counts = np.unique(docs.tokens, return_inverse=True, return_counts=True)
-    order = np.lexsort((ids, -counts))
-    place = np.empty(len(ids), np.uint32)
-    place[order] = np.arange(len(ids), dtype=np.uint32)
-    control, data = encode_places(place[where])
+    tokens = docs.tokens
+    if tokens.max(initial=0) < _COUNTED:  # a vocabulary's size: ids are counted without sorting them
+        counts = np.bincount(tokens)
+        ids = np.flatnonzero(counts)
+        ids = ids[np.lexsort((ids, -counts[ids]))]
+        place = np.zeros(len(counts), np.uint32)
+        place[ids] = np.arange(len(ids), dtype=np.uint32)
+        places = place[tokens]
+    else:
+        ids, where, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.lexsort((ids, -counts))
+        place = np.empty(len(ids), np.uint32)
+        place[order] = np.arange(len(ids), dtype=np.uint32)
+        ids, places = ids[order], place[where]
+    control, data = encode_places(places)
     missing = np.array([d is None for d in docs.doc_ids], np.uint8)
     return b"".join([
         _HEADER.pack(MAGIC, len(docs.doc_ids), len(docs.tokens), len(ids), len(data)),
-        ids[order].astype("<u4").tobytes(),
+        ids.astype("<u4").tobytes(),
         np.array([d or 0 for d in docs.doc_ids], "<i8").tobytes(),
         missing.tobytes(),
         docs.lengths.astype("<u8").tobytes(),

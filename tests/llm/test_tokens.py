@@ -20,7 +20,7 @@ from millwatch.llm.queries import BYTES, END_ID, PIECES
 
 TEXTS = st.lists(
     st.sampled_from(list("abcdeth inosTHE  \n\t\r▁éñß漢字\U0001f600<0x>s/|#.,'0123456789\x00\x1c\xa0 "))
-    | st.sampled_from(["th", "tion", " the", "  ", "    ", "'s", "ing", "</s>"]),
+    | st.sampled_from(["th", "tion", " the", "  ", "    ", "'s", "ing", "</s>", "<|endoftext|>"]),
     max_size=50,
 ).map("".join)
 
@@ -32,9 +32,7 @@ def pieces():
 
 @pytest.fixture(scope="module")
 def reference_bpe():
-    tokenizer = Tokenizer.from_file(BYTES)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(BYTES)
 
 
 @settings(max_examples=600, deadline=None)
@@ -62,7 +60,6 @@ def test_byte_bpe_ids(text):
     if len(_cached) < 2:
         _processor()
         tokenizer = Tokenizer.from_file(BYTES)
-        tokenizer.encode_special_tokens = True
         _cached.extend([tokenizer, Encoder(BYTES)])
     ids = _cached[1].encode(text, add_special_tokens=False).ids
     assert np.frombuffer(_cached[2].encode([text])[0], "<u4").tolist() == ids
@@ -258,3 +255,29 @@ def test_packed_documents(hard_documents, reference_bpe, capacity):
 
 def test_packing_no_rows(no_documents):
     assert packing.pack_documents(no_documents, BYTES, END_ID).count() == 0
+
+
+def test_special_tokens_as_the_library_cuts_them():
+    """With and without white space, beside signs, and words too long to be remembered."""
+    tokenizer, own = Tokenizer.from_file(BYTES), Encoder(BYTES)
+    rng = random.Random(4)
+    bits = ["<|endoftext|>", "a", "Zé", " ", "\n", "  ", "|>", "<|", "!", "1", "\xa0", "endoftext"]
+    for _ in range(4000):
+        text = "".join(rng.choices(bits, k=rng.randint(1, 9)))
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids, text
+    own.encode([f"{k:0100d} x" for k in range(2000)])
+    assert max(map(len, own.known)) <= 64
+
+
+def test_places_of_ids_beyond_the_table():
+    """Ids are ranked alike whether they are counted in a table or sorted."""
+    few = np.array([5, 7, 7, 5, 9, 7], np.uint32)
+    many = few + np.uint32(1 << 30)
+    for tokens in (few, many, few[:0]):
+        docs = token_files.Documents([1], np.array([len(tokens)]), tokens)
+        back = token_files.from_bytes(token_files.to_bytes(docs))
+        assert back.tokens.tolist() == tokens.tolist()
+    assert len(token_files.to_bytes(token_files.Documents([1], np.array([6]), few))) == len(
+        token_files.to_bytes(token_files.Documents([1], np.array([6]), many))
+    )
