@@ -9,18 +9,20 @@ expected number of uses of each piece.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import drawn_by_hash, map_slices, missing, whole_text, written
+from millwatch.llm.common import drawn_by_hash, forget_long, map_slices, missing, whole_text, written
 
 UNDETERMINED = "und"
 
@@ -36,12 +38,12 @@ SMOOTHING = 200.0
 #: Probability, in every language, of a letter that is no piece.
 UNKNOWN_LETTER = 1e-7
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _START = "▁"
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
+    """Runs of letters (Unicode category L), in lower case."""
     return _LETTERS.findall(text.lower())
 
 
@@ -152,9 +154,60 @@ def forward(cut: Lattice, probability: np.ndarray) -> np.ndarray:
         return np.log(alpha[at, cut.lengths]) + scale[at, cut.lengths][:, None]
 
 
+def tables_of(words: list[str]) -> Iterator[list[int]]:
+    """Places of as many words, short ones first, as fill a bounded table; a longer one alone."""
+    order, at = sorted(range(len(words)), key=lambda k: len(words[k])), 0
+    while at < len(order):
+        upto = at + 1
+        while upto < len(order) and upto - at < 4096 and (upto - at) * len(words[order[upto]]) < 60_000:
+            upto += 1
+        yield order[at:upto]
+        at = upto
+
+
+def _log_sums(
+    word: np.ndarray, near: np.ndarray, far: np.ndarray, log_piece: np.ndarray, log: np.ndarray, step: int
+) -> None:
+    """Fill ``log`` [word, place, language] along edges that are ordered by the place they reach.
+
+    What an edge brings is taken relative to the place next to the one it reaches, which is at
+    most a piece away: nothing leaves the range, however long the word.
+    """
+    places, first = np.unique(far, return_index=True)
+    bounds = [*first.tolist(), len(far)]
+    for at in range(len(places)) if step > 0 else range(len(places) - 1, -1, -1):
+        part = slice(bounds[at], bounds[at + 1])
+        w, j = word[part], int(places[at])
+        base = log[w, j - step]
+        value = np.exp(log[w, near[part]] - base + log_piece[part])
+        starts = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+        who = w[starts]
+        log[who, j] = base[starts] + np.log(np.add.reduceat(value, starts))
+
+
+def expected_uses_of_long(cut: Lattice, probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """As ``expected_uses``, in logarithms: for words whose probability would underflow."""
+    n_words, longest = len(cut.lengths), int(cut.lengths.max(initial=0))
+    log_piece = np.log(probability)[cut.piece]
+    alpha = np.zeros((n_words, longest + 1, probability.shape[1]))
+    beta = np.zeros_like(alpha)
+    _log_sums(cut.word, cut.start, cut.end, log_piece, alpha, 1)
+    back = np.lexsort((cut.word, cut.start))
+    _log_sums(cut.word[back], cut.end[back], cut.start[back], log_piece[back], beta, -1)
+    whole = alpha[np.arange(n_words), cut.lengths]
+    use = np.exp(alpha[cut.word, cut.start] + log_piece + beta[cut.word, cut.end] - whole[cut.word])
+    use *= counts[cut.word]
+    out = np.zeros_like(probability)
+    for lang in range(probability.shape[1]):
+        out[:, lang] = np.bincount(cut.piece, use[:, lang], minlength=len(probability))
+    return out
+
+
 def expected_uses(cut: Lattice, probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in each language; counts[word, language] are occurrences."""
     n_words, longest = len(cut.lengths), int(cut.lengths.max(initial=0))
+    if longest > _SHORT:
+        return expected_uses_of_long(cut, probability, counts)
     alpha = np.zeros((n_words, longest + 1, probability.shape[1]))
     beta = np.zeros_like(alpha)
     alpha[:, 0] = 1
@@ -195,15 +248,10 @@ class Scorer:
 
     def _learn(self, new: list[str]) -> None:
         vocab = vocabulary(self.model.vocabulary_path)
-        new.sort(key=len)
-        at = 0
-        while at < len(new):  # as many words as fill a bounded table
-            upto = at + 1
-            while upto < len(new) and upto - at < 4096 and (upto - at) * len(new[upto]) < 60_000:
-                upto += 1
-            logs = forward(lattice(new[at:upto], vocab), self.model.probability)
-            self.known.update(zip(new[at:upto], map(tuple, logs.tolist()), strict=True))
-            at = upto
+        for some in tables_of(new):
+            words = [new[k] for k in some]
+            logs = forward(lattice(words, vocab), self.model.probability)
+            self.known.update(zip(words, map(tuple, logs.tolist()), strict=True))
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed logarithms [text, language] and the number of words of each text."""
@@ -216,6 +264,7 @@ class Scorer:
         for k, words in enumerate(found):
             if words:
                 sums[k] = np.array([known[w] for w in words]).sum(axis=0)
+        forget_long(known, new)
         return sums, np.array([len(w) for w in found], np.int64)
 
 
@@ -234,14 +283,28 @@ def fit(
 ) -> Model:
     """Learn a distribution per language from the rows that ``train`` selects.
 
-    Only pieces and languages come to the driver: one row per piece and language at most. A
-    table without labelled rows gives a model without languages.
+    Only pieces and languages come to the driver: one row per piece and language at most. Runs
+    of letters of any length count. A table without labelled rows gives a model without
+    languages. Rows without an id are not drawn.
     """
     sample = train_rows(docs, train, per_language)
-    letters = F.explode(F.regexp_extract_all(F.lower(whole_text()), F.lit(r"\p{L}+"), F.lit(0)))
-    counts = written(
-        sample.select("lang", letters.alias("word")).groupBy("word", "lang").count(), "lang-words"
+
+    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
+        found = Counter(
+            (word, lang)
+            for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True)
+            for word in words_of(text)
+        )
+        words, langs = ([pair[k] for pair in found] for k in (0, 1))
+        columns = [pa.array(words, pa.string()), pa.array(langs, pa.string()), pa.array(list(found.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "lang", "n"])
+
+    each = map_slices(
+        sample.select(F.col("lang").cast("string").alias("lang"), whole_text().alias("text")),
+        cut,
+        "word string, lang string, n bigint",
     )
+    counts = written(each.groupBy("word", "lang").agg(F.sum("n").alias("count")), "lang-words")
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     n_pieces = vocabulary(vocabulary_path).n_pieces
     shared = np.full(n_pieces + 1, 1 / n_pieces)
@@ -258,16 +321,14 @@ def fit(
             for batch in batches:
                 for start in range(0, batch.num_rows, 2048):
                     part = batch.slice(start, 2048)
-                    # the lattices of longer runs of letters tell little and fill the table
                     words = part.column("word").to_pylist()
-                    short = [k for k, w in enumerate(words) if len(w) <= 40]
-                    count = np.zeros((len(short), len(number)))
                     langs, n = part.column("lang").to_pylist(), part.column("count").to_pylist()
-                    for row, k in enumerate(short):
-                        count[row, number[langs[k]]] = n[k]
-                    if short:
-                        cut = lattice([words[k] for k in short], vocab)
-                        total += expected_uses(cut, sent.value, count)
+                    for some in tables_of(words):
+                        count = np.zeros((len(some), len(number)))
+                        for row, k in enumerate(some):
+                            count[row, number[langs[k]]] = n[k]
+                        cut_up = lattice([words[k] for k in some], vocab)
+                        total += expected_uses(cut_up, sent.value, count)
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], ["piece", "lang", "uses"]

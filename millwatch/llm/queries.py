@@ -35,22 +35,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def remainder(divisor: int) -> Column:
-    """crc32 of the id as text, modulo ``divisor``."""
+    """crc32 of the id as text, modulo ``divisor``; NULL for rows without an id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def held_out(divisor: int, value: int) -> Column:
+    """Rows without an id are neither learned from nor held out."""
+    return F.coalesce(remainder(divisor) == value, F.lit(False))
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, remainder(4) != 2, PIECES)
     found = langid.identify(docs, model)
-    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels, remainder(5) != 0)
     found = toxicity.score_texts(docs, model)
-    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
