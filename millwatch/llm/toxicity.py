@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import drawn_by_hash, map_slices, missing, whole_text
+from millwatch.llm.common import drawn_by_hash, forget_long, map_slices, missing, whole_text
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
@@ -27,7 +27,8 @@ SHORTEST, LONGEST = 3, 5
 TRAIN_DOCUMENTS = 1500
 EPOCHS, BATCH, RATE = 8, 64, 0.02
 
-#: A bucket that a greater share of the training texts has is left out.
+#: A bucket that a greater share of the training texts of either class has is left out: it is in
+#: most texts whatever their label.
 COMMON = 0.6
 
 #: Words a worker remembers; then it starts anew.
@@ -125,8 +126,11 @@ def train(
         only = {0: -20.0, 1: 20.0}.get(int(label[0])) if len(label) else 0.0
         return Model(np.zeros(BUCKETS, np.float32), only)
     rng = np.random.default_rng(seed)
-    # buckets that most texts have tell nothing and are most of the work: their vector is zero
-    told = np.bincount(buckets, minlength=BUCKETS) <= COMMON * len(label)
+    # buckets that most texts of both classes have are most of the work: their vector is zero
+    of = np.repeat(label, np.diff(indptr))
+    told = np.zeros(BUCKETS, bool)
+    for one in (0, 1):
+        told |= np.bincount(buckets[of == one], minlength=BUCKETS) <= COMMON * (label == one).sum()
     use = told[buckets]
     owner = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(indptr))[use]
     shares, buckets = shares[use], buckets[use]
@@ -215,6 +219,7 @@ class Scorer:
             if words:
                 total, n = np.array([known[w] for w in words]).sum(axis=0)
                 out[k] = total / n
+        forget_long(known, new)
         return 1 / (1 + np.exp(-np.clip(out + self.model.constant, -700, 700)))
 
 

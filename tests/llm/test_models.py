@@ -156,3 +156,82 @@ def test_features_are_those_of_each_word():
     assert buckets.tolist() == [x for b, _ in each for x in b]
     shared = set(each[1][0]) & set(toxicity.features_of(["idiots"])[0])
     assert len(shared) >= 6
+
+
+def test_uses_of_long_words_in_logarithms():
+    vocab = langid.vocabulary(PIECES)
+    probability = np.random.default_rng(3).random((vocab.n_pieces + 1, 3)) / 50
+    words = ["nation", "straße", "a", "tion" * 8]
+    counts = np.random.default_rng(4).random((4, 3)) * 9
+    cut = langid.lattice(words, vocab)
+    plain = langid.expected_uses(cut, probability, counts)
+    assert np.allclose(langid.expected_uses_of_long(cut, probability, counts), plain)
+    long = langid.lattice(["tion" * 3000], vocab)  # far below the smallest double
+    uses = langid.expected_uses(long, probability / 100, np.array([[2.0, 0.0, 1.0]]))
+    assert np.isfinite(uses).all() and uses[:, 1].sum() == 0
+    sizes = np.bincount(long.piece, (long.end - long.start).astype(float), len(uses)) / np.maximum(
+        np.bincount(long.piece, minlength=len(uses)), 1
+    )
+    assert np.allclose((uses * sizes[:, None]).sum(axis=0), [2 * 12001, 0, 12001])
+
+
+def test_languages_without_blanks(documents):
+    """Runs of more than 40 letters count in the fit."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(200):
+        lang = ["en", "fr"][k % 2]
+        runs = ["".join(rng.choices(SYLLABLES[lang], k=40)) for _ in range(3)]
+        rows.append((k, " ".join(runs), lang, "s"))
+    docs = documents(*rows)
+    model = langid.fit(docs, F.col("doc_id") < 100, PIECES)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert sum(got[d] == lang for d, _, lang, _ in rows if d >= 100) > 95
+
+
+def test_signs_and_numbers_are_no_letters(documents):
+    docs = documents((1, "½ ² ③ 12 Ⅷ _ ́"), (2, "the ½"), (3, "ǅord"))
+    model = langid.fit(documents((9, "the thing and", "en", "a")), F.lit(True), PIECES)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert got == {1: ("und", 0.0), 2: ("en", 1.0), 3: ("en", 1.0)}
+
+
+def plain_score(text: str, model) -> float:
+    """Every n-gram by itself, in Python's integers."""
+    from zlib import crc32
+
+    total, n = 0.0, 0
+    for word in toxicity.words_of(text):
+        marked = f"<{word}>"
+        total, n = total + model.per_bucket[crc32(marked.encode()) % toxicity.BUCKETS], n + 1
+        for size in range(toxicity.SHORTEST, toxicity.LONGEST + 1):
+            for at in range(len(marked) - size + 1):
+                mixed = ord(marked[at])
+                for c in marked[at + 1 : at + size]:
+                    mixed = (mixed * 0x100000001B3 + ord(c)) % 2**64
+                spread = (mixed * 0x9E3779B97F4A7C15 % 2**64) >> 40
+                total, n = total + model.per_bucket[spread % toxicity.BUCKETS], n + 1
+    return 1 / (1 + np.exp(-((total / n if n else 0.0) + model.constant)))
+
+
+def test_scores_equal_a_plain_sum(documents):
+    draw = np.random.default_rng(5)
+    model = toxicity.Model(draw.normal(size=toxicity.BUCKETS).astype(np.float32), 0.3)
+    texts = ["", "a", "Whole words, and Signs!", "straße über 漢字 \U0001f600x", "word " * 500, "x" * 300, "two\nlines"]
+    got = {r.doc_id: r.score for r in toxicity.score_texts(documents(*enumerate(texts)), model).collect()}
+    assert all(np.isclose(got[k], plain_score(t, model)) for k, t in enumerate(texts))
+
+
+def test_buckets_of_one_class_stay():
+    """A bucket that all toxic texts have is learned from, however rare clean ones are."""
+    rows = [([1, 2], 1)] * 60 + [([1, 3], 0)] * 5
+    buckets = np.array([b for r, _ in rows for b in r])
+    label = np.array([c for _, c in rows])
+    model = toxicity.train(np.arange(0, 2 * len(rows) + 1, 2), buckets, np.full(len(buckets), 0.5, np.float32), label)
+    assert model.per_bucket[1] == 0 and model.per_bucket[2] > 0 > model.per_bucket[3]
+
+
+def test_long_words_are_not_remembered():
+    scorer = toxicity.Scorer(toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), 0.0))
+    scorer.score([f"{k}" * 100 for k in range(1, 50)])
+    assert sum(map(len, scorer.known)) < 2000
