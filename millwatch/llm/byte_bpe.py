@@ -11,7 +11,7 @@ import numpy as np
 from millwatch.llm.common import forget_long, missing
 
 #: Words a worker remembers; then it starts anew. Long ones are not remembered.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 #: New words that are encoded in one call.
 TOGETHER = 4000
@@ -34,7 +34,9 @@ _AS_IT_IS = "\x00"
 
 def _is_even(text: str) -> bool:
     """Are the blanks between words single blanks and line feeds, with none at either end?"""
-    return " ".join(text.split()) == text.replace("\n", " ") and not any(c in text for c in _UNSPLIT)
+    if " ".join(text.split()) != text.replace("\n", " "):
+        return False
+    return "\x00" not in text if text.isascii() else not any(c in text for c in _UNSPLIT)
 
 
 def parts_of(text: str) -> list[str]:

@@ -206,7 +206,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                     docs = from_bytes(data.read())
                 ends = np.cumsum(docs.lengths)
                 starts = ends - docs.lengths
-                raw = docs.tokens.astype("<u4").tobytes()
+                raw = memoryview(docs.tokens.astype("<u4").tobytes())
                 marks = [
                     crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
                 ]
