@@ -1,4 +1,4 @@
-"""Change events of the reference tables as JSON envelopes."""
+"""Change events of the reference tables as JSON envelopes: of one table, or of all in one pass."""
 
 from __future__ import annotations
 
@@ -48,3 +48,57 @@ def parse_changes(lines: DataFrame, table: str, text: str = "value") -> DataFram
     """The same envelopes held as text in a column."""
     event = F.from_json(text, envelope_layout(table)).alias("event")
     return _declared(lines.select(event).select("event.payload.*"), table)
+
+
+def _columns(layout: str) -> dict[str, str]:
+    """Names and types of a layout."""
+    columns = (column.split(maxsplit=1) for column in re.split(r",(?![^(]*\))", layout))
+    return {name: kind.strip() for name, kind in columns}
+
+
+def merged_layout() -> str:
+    """An envelope whose rows hold the columns of all tables; a table fills its own."""
+    merged: dict[str, str] = {}
+    for table in schemas.REFERENCE_TABLES:
+        for name, kind in _columns(_wire_layout(table)).items():
+            if merged.setdefault(name, kind) != kind:
+                raise ValueError(f"column {name} has two types: {merged[name]} and {kind} in {table}")
+    row = ", ".join(f"{name}: {kind}" for name, kind in merged.items())
+    return (
+        f"payload STRUCT<before: STRUCT<{row}>, after: STRUCT<{row}>, op: STRING, "
+        "ts_ms: BIGINT, source: STRUCT<table: STRING, lsn: BIGINT>>"
+    )
+
+
+def read_all_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Change files of all tables, parsed once."""
+    return spark.read.schema(merged_layout()).json(path).select("payload.*")
+
+
+def route_changes(events: DataFrame, folder: str) -> None:
+    """Write the events of all tables in one pass, each table's in a partition of its own.
+
+    Events of tables that have no layout are kept beside them, and those without a table under
+    an empty name, so none is lost.
+    """
+    table = F.coalesce("source.table", F.lit(""))
+    named = events.withColumn("table_name", table)
+    named.write.mode("overwrite").partitionBy("table_name").parquet(folder)
+
+
+def routed_changes(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The routed events of one table, with its own columns and declared types. Only the
+    partition of the table is read, and of it the columns of the table."""
+    layout = merged_layout().removeprefix("payload STRUCT<").removesuffix(">")
+    fields = f"payload STRUCT<{layout}>"
+    stored = spark.createDataFrame([], fields).select("payload.*").schema.add("table_name", "string")
+    events = spark.read.schema(stored).parquet(folder).filter(F.col("table_name") == table)
+
+    def own(side: str) -> Column:
+        columns = _columns(schemas.REFERENCE_TABLES[table])
+        row = F.struct(*[F.col(f"{side}.{name}").cast(kind).alias(name) for name, kind in columns.items()])
+        return F.when(F.col(side).isNotNull(), row)
+
+    return events.select(
+        own("before").alias("before"), own("after").alias("after"), "op", "ts_ms", "source"
+    )
