@@ -6,13 +6,14 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millwatch import schemas
 from millwatch.operators import incremental
 from millwatch.operators.bronze import to_bronze
 from millwatch.operators.gold import gold_risk
 from millwatch.operators.quality import quarantine_distinct, split_valid
 from millwatch.operators.serving import leaderboard
 from millwatch.operators.silver import silver_from_bronze, to_silver
-from millwatch.sources import sinks
+from millwatch.sources import sinks, versions
 from millwatch.sources.tables import require_rows
 from millwatch.sources.telemetry import read_drifting
 
@@ -94,6 +95,24 @@ def refresh_gold(
     return sinks.read_target(spark, target, schema=fresh.schema)
 
 
+def refresh_versioned_gold(
+    spark: SparkSession, silver: DataFrame, touched: DataFrame, table: str
+) -> DataFrame:
+    """Recompute the touched plant-days as the next version of a versioned gold table.
+
+    Days that lost their last valid reading are left out of the new version, on any path; only
+    their names reach the driver. Readers see all of the refresh or none of it, and of two
+    refreshes at once the second is refused.
+    """
+    before = versions.manifest(spark, table)
+    gone = incremental.vanished_days(touched, silver).toLocalIterator()
+    names = [versions.partition_name(spark, row.asDict()) for row in gone]
+    fresh = incremental.recomputed_gold(silver, touched)
+    at = before.version if before else 0
+    versions.commit(fresh, table, schemas.PLANT_DAY, only_touched=True, gone=names, expected=at)
+    return versions.read_version(spark, table)
+
+
 def run(spark: SparkSession, landing: str, lake: Lake, run_id: str) -> DataFrame:
     """All three stages; the leaderboard is read from the written gold table."""
     load_bronze(spark, landing, lake)

@@ -238,6 +238,27 @@ INVENTORY = f"""inventory AS (SELECT {_padded("PART_", "l_partkey", 5)} AS part_
 INVENTORY_OUT = f"""part_id, supplier_id, warehouse_id, stock_level, transit_status,
     reorder_point, safety_stock, {_time("snapshot_date")}"""
 
+def _op_of_order(n: int) -> str:
+    return f"CASE o_orderkey % {n} WHEN 0 THEN 'd' WHEN 1 THEN 'c' ELSE 'u' END AS op"
+
+
+SUPPLIER_FEED = f"""supplier_feed AS (SELECT {_padded("SUPP_", "o_custkey % 150 + 1", 5)} AS supplier_id,
+    'Supplier ' || (o_custkey % 150) AS supplier_name, {_padded("PART_", "o_orderkey % 2000", 5)} AS part_id,
+    CAST(3 + o_orderkey % 28 AS INT) AS avg_lead_time_days,
+    CAST((50 + o_orderkey % 24950) / CAST(100 AS DOUBLE) AS DECIMAL(10,2)) AS unit_cost,
+    o_orderkey % 13 <> 0 AS is_active, {_op_of_order(7)},
+    epoch_us(o_orderdate) // 1000 AS ts_ms, o_orderkey AS lsn FROM orders)"""
+INVENTORY_FEED = f"""inventory_feed AS (SELECT o_custkey % 300 AS id,
+    {_padded("PART_", "o_custkey % 40", 5)} AS part_id,
+    {_padded("SUPP_", "o_custkey % 100 + 1", 5)} AS supplier_id,
+    {_choose(WAREHOUSES, "o_custkey % 5 + 1")} AS warehouse_id, CAST(o_orderkey % 500 AS INT) AS stock_level,
+    CASE o_orderstatus WHEN 'O' THEN 'IN_TRANSIT' WHEN 'P' THEN 'DELAYED' ELSE 'DELIVERED' END AS transit_status,
+    CAST(80 + o_orderkey % 121 AS INT) AS reorder_point, CAST(40 + o_orderkey % 61 AS INT) AS safety_stock,
+    o_orderdate AS snapshot_date, o_orderdate AS updated_at, {_op_of_order(9)},
+    epoch_us(o_orderdate) // 1000 AS ts_ms, o_orderkey AS lsn FROM orders)"""
+INVENTORY_ROW_OUT = f"""id, part_id, supplier_id, warehouse_id, stock_level, transit_status, reorder_point,
+    safety_stock, {_time("snapshot_date")}, {_time("updated_at")}"""
+
 THROTTLED = "ProvisionedThroughputExceededException"
 OUTCOMES = f"""WITH outcomes AS (SELECT event_id AS record_id, CAST(attempt AS INT) AS attempt,
     CASE WHEN attempt < event_id % 7 THEN '{THROTTLED}' END AS error_code
@@ -341,6 +362,12 @@ ORACLE_SQL: dict[str, str] = {
     "risk_score": f"""{GOLD} SELECT machine_id, plant_id, {_date("event_date")}, risk_score
       FROM gold""",
     "gold_incremental": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
+    "gold_versioned_refresh": f"{GOLD} SELECT {GOLD_OUT} FROM gold WHERE event_date <> DATE '2024-01-05'",
+    "versions_survive_failure": f"""{GOLD}, seen AS (
+        SELECT 'after failure' AS seen, * FROM gold WHERE event_date < DATE '2024-01-11'
+        UNION ALL SELECT 'after commit', * FROM gold)
+      SELECT seen, plant_id, count(*) AS machine_days, {_round("sum(risk_score)")} AS risk_score_sum
+      FROM seen GROUP BY seen, plant_id""",
     "risk_rollup": f"""{GOLD} SELECT plant_id, machine_id,
       CAST(grouping(plant_id, machine_id) AS INT) AS level, count(*) AS machine_days,
       {_round("avg(risk_score)")} AS avg_risk_score, max(risk_score) AS peak_risk_score,
@@ -429,6 +456,29 @@ ORACLE_SQL: dict[str, str] = {
       CASE WHEN op <> 'd' THEN strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') END AS updated_at,
       op, ts_ms, lsn FROM feed""",
     "apply_changes": f"WITH {AFTER_CHANGES} SELECT {MACHINE_OUT} FROM current_machines",
+    "apply_changes_suppliers": f"""WITH {SUPPLIER_FEED}, {SUPPLIERS}, ranked AS (SELECT *, row_number() OVER (
+          PARTITION BY supplier_id ORDER BY ts_ms DESC, lsn DESC) AS newest FROM supplier_feed)
+      SELECT supplier_id, supplier_name, part_id, avg_lead_time_days, CAST(unit_cost AS DOUBLE) AS unit_cost,
+        is_active FROM ranked WHERE newest = 1 AND op <> 'd'
+      UNION ALL SELECT supplier_id, supplier_name, part_id, avg_lead_time_days, CAST(unit_cost AS DOUBLE),
+        is_active FROM suppliers WHERE supplier_id NOT IN (SELECT supplier_id FROM supplier_feed)""",
+    "apply_changes_inventory": f"""WITH {INVENTORY_FEED}, opening AS (
+        SELECT * REPLACE (lsn AS id) FROM inventory_feed WHERE lsn < 400),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, lsn DESC) AS newest
+        FROM inventory_feed)
+      SELECT {INVENTORY_ROW_OUT} FROM (SELECT * EXCLUDE (newest) FROM ranked WHERE newest = 1 AND op <> 'd'
+        UNION ALL SELECT * FROM opening WHERE id NOT IN (SELECT id FROM inventory_feed))""",
+    "scd2_inventory": f"""WITH {INVENTORY_FEED}, settled AS (SELECT * FROM (SELECT *, row_number() OVER (
+          PARTITION BY part_id, warehouse_id, ts_ms ORDER BY lsn DESC) AS pick FROM inventory_feed)
+          WHERE pick = 1),
+      versions AS (SELECT *, lead(ts_ms) OVER (PARTITION BY part_id, warehouse_id ORDER BY ts_ms) AS until
+        FROM settled)
+      SELECT {INVENTORY_ROW_OUT},
+        strftime(make_timestamp_ms(ts_ms), '%Y-%m-%d %H:%M:%S.%f') AS valid_from,
+        strftime(make_timestamp_ms(until), '%Y-%m-%d %H:%M:%S.%f') AS valid_to,
+        until IS NULL AS is_current
+      FROM versions WHERE op <> 'd'""",
+    "changes_merged": f"WITH {AFTER_CHANGES} SELECT {MACHINE_OUT} FROM current_machines",
     "scd2_machines": f"""WITH {FEED}, settled AS (SELECT * FROM (SELECT *, row_number() OVER (
           PARTITION BY machine_id, ts_ms ORDER BY lsn DESC) AS pick FROM feed) WHERE pick = 1),
       versions AS (SELECT *, lead(ts_ms) OVER (PARTITION BY machine_id ORDER BY ts_ms) AS until
@@ -507,6 +557,14 @@ ORACLE_SQL: dict[str, str] = {
       WHERE copy = 1 OR machine_id IS NULL OR event_timestamp IS NULL""",
     "stream_json_landing": f"{READINGS} SELECT {BRONZE_OUT} FROM readings",
     "daily_window": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
+    "stream_late_completed": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
+    "stream_late_rows": f"""{SILVER}, landed AS (SELECT plant_id, event_date, event_timestamp,
+        CASE WHEN minute(event_timestamp) % 7 = 0 THEN 2
+          ELSE least(date_diff('day', DATE '2024-01-01', event_date) // 10, 2) END AS file FROM silver),
+      marks AS (SELECT a.file, max(b.event_timestamp) AS newest FROM (SELECT DISTINCT file FROM landed) a
+        JOIN landed b ON b.file < a.file GROUP BY a.file)
+      SELECT plant_id, {_date("event_date")}, count(*) AS late_readings FROM landed JOIN marks USING (file)
+      WHERE event_timestamp < newest - INTERVAL 1 HOUR GROUP BY plant_id, landed.event_date""",
     "stream_leaderboard": f"{GOLD} {BOARD}",
     "stream_plant_machines": f"""{SILVER}, seen AS (SELECT plant_id, event_date,
         count(DISTINCT machine_id) AS machines FROM silver GROUP BY plant_id, event_date)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +35,10 @@ from millwatch.operators.silver import silver_from_bronze
 from millwatch.plans import medallion
 from millwatch.sources import changes as change_feed
 from millwatch.sources import sample_tables as sample
-from millwatch.sources import sinks, tables, telemetry
+from millwatch.sources import buckets, sinks, tables, telemetry, versions
 from millwatch.sources.session import shared_folder
 from millwatch.sources.tables import read_path
+from millwatch.streaming import late as stream_late
 from millwatch.streaming import risk as stream_risk
 from millwatch.streaming import silver as stream_silver
 
@@ -332,6 +334,41 @@ def gold_incremental(spark, sf_dir):
     return read_path(spark, target, schema=early.schema)
 
 
+@query(*DAY_AVERAGES)
+def gold_versioned_refresh(spark, sf_dir):
+    """Three versions of gold: cool readings, then hot ones too, then without one emptied day."""
+    table, silver = scratch(spark, "gold"), sample.silver(spark, sf_dir)
+    hot, emptied = F.col("temperature_celsius") >= 100, F.col("event_date") == "2024-01-05"
+    for rows, changed in (
+        (silver.filter(~hot), silver.filter(~hot)),
+        (silver, silver.filter(hot)),
+        (silver.filter(~emptied), silver.filter(emptied)),
+    ):
+        medallion.refresh_versioned_gold(spark, rows, incremental.touched_days(changed), table)
+    return versions.read_version(spark, table)
+
+
+@query("risk_score_sum")
+def versions_survive_failure(spark, sf_dir):
+    """What readers see after a write that failed half way, and after the next one."""
+    table, gold_rows = scratch(spark, "gold"), _gold(spark, sf_dir)
+    versions.commit(gold_rows.filter("event_date < '2024-01-11'"), table, schemas.PLANT_DAY)
+    broken = F.when(F.col("plant_id") == "PLANT_DE_02", F.raise_error("broken")).otherwise(F.col("risk_score"))
+    try:
+        versions.commit(gold_rows.withColumn("risk_score", broken.cast("double")), table, schemas.PLANT_DAY)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the write was meant to fail")
+    after_failure = versions.read_version(spark, table).withColumn("seen", F.lit("after failure"))
+    versions.commit(gold_rows, table, schemas.PLANT_DAY, expected=1)
+    after_commit = versions.read_version(spark, table).withColumn("seen", F.lit("after commit"))
+    both = after_failure.unionByName(after_commit)
+    return both.groupBy("seen", "plant_id").agg(
+        F.count(F.lit(1)).alias("machine_days"), F.sum("risk_score").alias("risk_score_sum")
+    )
+
+
 @query("avg_risk_score")
 def risk_rollup(spark, sf_dir):
     return gold.risk_rollup(_gold(spark, sf_dir))
@@ -545,6 +582,45 @@ def snapshot_history(spark, sf_dir):
     return changes.snapshot_history(changes.open_history(first), current, "machine_id")
 
 
+def _routed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One table's changes out of the feed of all three, which is parsed and routed in one pass."""
+    folder = scratch(spark, "changes")
+    change_feed.route_changes(change_feed.parse_all_changes(sample.change_lines(spark, sf_dir)), folder)
+    return change_feed.routed_changes(spark, folder, table)
+
+
+@query()
+def apply_changes_suppliers(spark, sf_dir):
+    feed = changes.flatten_changes(_routed(spark, sf_dir, "suppliers"), "supplier_id")
+    return changes.apply_changes(sample.suppliers(spark, sf_dir), feed, "supplier_id")
+
+
+@query()
+def apply_changes_inventory(spark, sf_dir):
+    """Inventory by its surrogate key."""
+    feed = changes.flatten_changes(_routed(spark, sf_dir, "inventory_levels"), "id")
+    return changes.apply_changes(sample.inventory_table(spark, sf_dir), feed, "id")
+
+
+@query()
+def scd2_inventory(spark, sf_dir):
+    """History of inventory by part and warehouse."""
+    keys = ["part_id", "warehouse_id"]
+    feed = changes.flatten_changes(_routed(spark, sf_dir, "inventory_levels"), keys)
+    return changes.scd2(feed, keys)
+
+
+@query()
+def changes_merged(spark, sf_dir):
+    """Machines in hash buckets, into which batches of the feed are merged out of order, one twice."""
+    table, keys = scratch(spark, "machines"), ["machine_id"]
+    buckets.create_bucketed(sample.machines(spark, sf_dir), table, keys, 16)
+    feed = changes.flatten_changes(_routed(spark, sf_dir, "machines"), keys)
+    for part in (2, 0, 1, 2):
+        buckets.merge_feed(spark, table, feed.filter(F.col("lsn") % 3 == part), keys, 16)
+    return buckets.read_current(spark, table)
+
+
 # Reference data
 
 
@@ -697,6 +773,40 @@ def daily_window(spark, sf_dir):
     return stream_risk.read_upserts(spark, _streamed_days(spark, sf_dir))
 
 
+def _late_stream(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Silver landed as three files, ten days each, a seventh of the minutes in the last one; both
+    streams are run to the end and started anew for every file."""
+    base, silver = scratch(spark, "late"), sample.silver(spark, sf_dir)
+    days = F.floor(F.datediff("event_date", F.lit("2024-01-01")) / 10)
+    file = F.when(F.minute("event_timestamp") % 7 == 0, 2).otherwise(F.least(days, F.lit(2)))
+    for k in range(3):
+        silver.filter(file == k).write.mode("append").parquet(f"{base}/landing")
+        landed = spark.readStream.schema(silver.schema).parquet(f"{base}/landing")
+        _finish(stream_late.stream_readings(landed, base, f"{base}/checkpoint"))
+        days_ = stream_risk.daily_risk(landed)
+        _finish(stream_risk.stream_upserts(days_, f"{base}/gold", f"{base}/gold-checkpoint"))
+    return base, silver
+
+
+@query(*DAY_AVERAGES)
+def stream_late_completed(spark, sf_dir):
+    """Streamed gold, made good for the days of readings that came behind the watermark."""
+    base, silver = _late_stream(spark, sf_dir)
+    return stream_late.completed_gold(
+        stream_risk.read_upserts(spark, f"{base}/gold"),
+        stream_late.stored_readings(spark, base, silver),
+        stream_late.late_readings(spark, base, silver),
+    )
+
+
+@query()
+def stream_late_rows(spark, sf_dir):
+    """The late readings themselves, counted by plant-day."""
+    base, silver = _late_stream(spark, sf_dir)
+    late = stream_late.late_readings(spark, base, silver)
+    return late.groupBy(*schemas.PLANT_DAY).agg(F.count(F.lit(1)).alias("late_readings"))
+
+
 @query()
 def stream_leaderboard(spark, sf_dir):
     return stream_risk.leaderboard(spark, _streamed_days(spark, sf_dir))

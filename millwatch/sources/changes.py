@@ -75,6 +75,11 @@ def read_all_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(merged_layout()).json(path).select("payload.*")
 
 
+def parse_all_changes(lines: DataFrame, text: str = "value") -> DataFrame:
+    """The same envelopes held as text in a column."""
+    return lines.select(F.from_json(text, merged_layout()).alias("event")).select("event.payload.*")
+
+
 def route_changes(events: DataFrame, folder: str) -> None:
     """Write the events of all tables in one pass, each table's in a partition of its own.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch import schemas
-from millwatch.functions.text import choose, numbered_id, to_json_payload
+from millwatch.functions.text import ISO_MICROS, choose, numbered_id, to_json_payload
 from millwatch.operators.bronze import to_bronze
 from millwatch.operators.silver import silver_from_bronze
 
@@ -192,6 +192,92 @@ def inventory_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+
+def _change(table: str, row: dict[str, Column], op: Column) -> list[Column]:
+    """The envelope of a change that an order stands for."""
+    image = F.struct(*[c.alias(name) for name, c in row.items()])
+    return [
+        F.when(op != "c", image).alias("before"),
+        F.when(op != "d", image).alias("after"),
+        op.alias("op"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
+        F.struct(F.lit(table).alias("table"), F.col("o_orderkey").alias("lsn")).alias("source"),
+    ]
+
+
+def _op_of_order(n: int) -> Column:
+    turn = F.col("o_orderkey") % n
+    return F.when(turn == 0, "d").when(turn == 1, "c").otherwise("u")
+
+
+def supplier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One change of a supplier per order; 150 suppliers, some unknown before."""
+    order, key, at = F.col("o_orderkey"), F.col("o_custkey") % 150, F.col("o_orderdate").cast("timestamp")
+    row = {
+        "supplier_id": numbered_id("SUPP_", key + 1, 5),
+        "supplier_name": F.concat(F.lit("Supplier "), key.cast("string")),
+        "part_id": numbered_id("PART_", order % 2000, 5),
+        "avg_lead_time_days": (3 + order % 28).cast("int"),
+        "unit_cost": ((50 + order % 24950) / 100.0).cast("decimal(10,2)"),
+        "is_active": order % 13 != 0,
+        "created_at": F.lit("2023-01-01 00:00:00").cast("timestamp"),
+        "updated_at": at,
+    }
+    return _orders(spark, sf_dir).select(*_change("suppliers", row, _op_of_order(7)))
+
+
+def _inventory_row() -> dict[str, Column]:
+    order, key, at = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate").cast("timestamp")
+    status = F.col("o_orderstatus")
+    return {
+        "id": key % 300,
+        "part_id": numbered_id("PART_", key % 40, 5),
+        "supplier_id": numbered_id("SUPP_", key % 100 + 1, 5),
+        "warehouse_id": choose(WAREHOUSES, key % 5 + 1),
+        "stock_level": (order % 500).cast("int"),
+        "transit_status": F.when(status == "O", "IN_TRANSIT").when(status == "P", "DELAYED").otherwise("DELIVERED"),
+        "reorder_point": (80 + order % 121).cast("int"),
+        "safety_stock": (40 + order % 61).cast("int"),
+        "snapshot_date": at,
+        "updated_at": at,
+    }
+
+
+def inventory_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 400 orders as rows of inventory, by a surrogate key."""
+    row = _inventory_row() | {"id": F.col("o_orderkey")}
+    return _orders(spark, sf_dir).filter("o_orderkey < 400").select(*[c.alias(n) for n, c in row.items()])
+
+
+def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One change of an inventory row per order."""
+    return _orders(spark, sf_dir).select(*_change("inventory_levels", _inventory_row(), _op_of_order(9)))
+
+
+def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of all three tables as lines of one feed."""
+
+    def lines(feed: DataFrame) -> DataFrame:
+        envelope = F.struct(F.struct(*feed.columns).alias("payload"))
+        as_text = {"timestampFormat": ISO_MICROS}
+        # decimals travel as text
+        typed = [f.name for f in feed.schema["after"].dataType if f.dataType.typeName() == "decimal"]
+        for side in ("before", "after"):
+            for name in typed:
+                image = F.col(side).withField(name, F.col(f"{side}.{name}").cast("string"))
+                feed = feed.withColumn(side, F.when(F.col(side).isNotNull(), image))
+        return feed.select(F.to_json(envelope, as_text).alias("value"))
+
+    feeds = (machine_changes, supplier_changes, inventory_changes)
+    first, *others = [lines(feed(spark, sf_dir)) for feed in feeds]
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
 def delivery_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to five sends per event; a send fails while its number is below
     ``event_id % 7``."""

@@ -123,6 +123,12 @@ def manifest(spark: SparkSession, table: str, version: int | None = None) -> Man
     return Manifest(**found | {"parts": [Part(**p) for p in found["parts"]]})
 
 
+def partition_name(spark: SparkSession, values: dict[str, str | None]) -> str:
+    """The folder names of a partition, as Spark writes them."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(names.getPartitionPathString(key, value) for key, value in values.items())
+
+
 def read_version(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """The rows of one version. Filters on partition columns reach every folder's scan."""
     found = manifest(spark, table, version)
