@@ -5,16 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millwatch.llm.sieve import passing, sieve
 from millwatch.sources.session import shared_folder
 
 #: Characters between words, as a class of Java and Python patterns.
 SPACES = r"\x20\x09-\x0D"
 
+#: Bits of the sieve of rows that share a group (1 MB).
+MEMBER_BITS = 23
+
 #: Rows of one Arrow slice are handled together, so that new words are looked up once.
 SLICE_ROWS = 256
 
@@ -50,17 +56,36 @@ def one_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
     equal or lacking ids the smallest text key stays. Rows that repeat id and text count once.
     """
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    stays = rooted.groupBy("root").agg(F.min(order).alias("one"))
-    stays = stays.select(F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("__stays"))
+    groups = rooted.groupBy("root").agg(F.min(order).alias("one"), F.count(F.lit(1)).alias("rows"))
+    groups = written(groups.filter("rows > 1"), "groups")
+    # rows alone in their group stay; a sieve lets most of them pass without a shuffle of texts
+    members = rooted.join(groups.select("root"), "root", "left_semi")
+    known = sieve(members, F.xxhash64("text_key"), MEMBER_BITS)
+    keyed = docs.withColumn("__key", text_key())
+    may_go = _passes(known)(F.xxhash64("__key"))
+    alone = keyed.filter(~may_go).select(*docs.columns)
+    alone_too = rooted.join(groups.select("root"), "root", "left_anti").select("doc_id", "text_key")
+    stays = groups.select("one.doc_id", "one.text_key").union(alone_too)
+    stays = stays.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__stays"))
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__stays"))
     first = Window.partitionBy("doc_id", "__key").orderBy(F.lit(0))
-    return (
-        docs.withColumn("__key", text_key())
+    told = (
+        keyed.filter(may_go)
         .join(stays, same, "left_semi")
         .withColumn("__nth", F.row_number().over(first))
         .filter("__nth = 1")
         .select(*docs.columns)
     )
+    return alone.unionByName(told)
+
+
+def _passes(known: np.ndarray) -> Callable[[Column], Column]:
+    """Whether a hash may be that of a member, as a function of a column: only hashes leave the JVM."""
+
+    def test(keys: pd.Series) -> pd.Series:
+        return pd.Series(passing(known, keys.to_numpy()))
+
+    return F.pandas_udf(test, "boolean")
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="the test tables a
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = QUERIES[name](spark, SF)
     expected = con.execute(ORACLE_SQL[name])
