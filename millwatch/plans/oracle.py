@@ -105,11 +105,26 @@ gold AS (SELECT *, {_risk("fault_event_count_24h", "overheat_count_24h",
 SILVER = READINGS + SILVER_CTE
 GOLD = SILVER + GOLD_CTE
 
+# silver without the readings of one day and of one plant's hour
+SILVER_LEFT = f"""{READINGS}, silver AS (SELECT *, {FLAGS} FROM readings WHERE {GATE}
+  AND event_date <> DATE '2024-01-05'
+  AND NOT (plant_id = 'PLANT_DE_02' AND hour(event_timestamp) = 7))"""
+
 SENSORS = """temperature_celsius, vibration_hz, pressure_bar, operational_status, error_code,
   rpm, power_consumption_kw"""
 BRONZE_OUT = f"machine_id, plant_id, {_time('event_timestamp')}, {SENSORS}, {_date('event_date')}"
 SILVER_OUT = f"{BRONZE_OUT}, is_overheating, is_vibration_anomaly, is_fault_event, event_hour"
 
+# silver against a copy with an hour lost, a reading's hour nudged and a day doubled
+TAMPERED = f"""{SILVER}, one AS (SELECT machine_id, plant_id, event_timestamp, {SENSORS}, event_date,
+    is_overheating, is_vibration_anomaly, is_fault_event, event_hour FROM silver),
+  other AS (SELECT * REPLACE (temperature_celsius + CASE WHEN plant_id = 'PLANT_US_05'
+      AND event_date = DATE '2024-01-09' AND event_hour = 3 THEN 1 ELSE 0 END AS temperature_celsius)
+    FROM one WHERE NOT (plant_id = 'PLANT_CN_03' AND event_date = DATE '2024-01-04' AND event_hour = 9)
+    UNION ALL SELECT * FROM one WHERE plant_id = 'PLANT_MX_01' AND event_date = DATE '2024-01-02'),
+  apart AS (SELECT *, 1 AS surplus FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM other)
+    UNION ALL SELECT *, -1 FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM one))"""
+
 COUNTS = """fault_event_count_24h, overheat_count_24h, vibration_anomaly_count_24h,
   total_readings_24h"""
 GOLD_OUT = f"""machine_id, plant_id, {_date("event_date")},
@@ -363,6 +378,11 @@ ORACLE_SQL: dict[str, str] = {
       FROM gold""",
     "gold_incremental": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
     "gold_versioned_refresh": f"{GOLD} SELECT {GOLD_OUT} FROM gold WHERE event_date <> DATE '2024-01-05'",
+    "gold_merged_states": f"""{SILVER_LEFT}{GOLD_CTE} SELECT {GOLD_OUT} FROM gold""",
+    "machines_seen_sketched": f"""{SILVER} SELECT plant_id,
+      strftime(date_trunc('week', event_date), '%Y-%m-%d') AS week,
+      count(DISTINCT machine_id) AS machines, TRUE AS sketch_agrees FROM silver GROUP BY 1, 2""",
+    "incremental_run": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
     "versions_survive_failure": f"""{GOLD}, seen AS (
         SELECT 'after failure' AS seen, * FROM gold WHERE event_date < DATE '2024-01-11'
         UNION ALL SELECT 'after commit', * FROM gold)
@@ -446,6 +466,11 @@ ORACLE_SQL: dict[str, str] = {
     "frame_differences": f"""{READINGS} SELECT machine_id, plant_id, {_time("event_timestamp")},
       temperature_celsius, count(*) AS surplus_left FROM readings WHERE event_type = 'purchase'
       GROUP BY machine_id, plant_id, readings.event_timestamp, temperature_celsius""",
+    "fingerprint_parts": f"""{TAMPERED} SELECT plant_id, {_date("event_date")},
+        CAST(sum(surplus) AS BIGINT) AS surplus_rows FROM apart GROUP BY plant_id, apart.event_date""",
+    "fingerprint_drilldown": f"""{TAMPERED} SELECT plant_id, machine_id, {_time("event_timestamp")},
+        temperature_celsius, CAST(sum(surplus) AS BIGINT) AS surplus_left
+      FROM apart GROUP BY plant_id, machine_id, apart.event_timestamp, temperature_celsius""",
     # Change data and history
     "changes_flattened": f"""WITH {FEED} SELECT machine_id, {_deleted_as_null("plant_id")},
       {_deleted_as_null("machine_type")},

@@ -23,16 +23,18 @@ from millwatch.operators import bronze as bronze_ops
 from millwatch.operators import (
     changes,
     delivery,
+    fingerprints,
     gold,
     incremental,
     quality,
     reference,
     serving,
     sessions,
+    sketches,
     trailing,
 )
 from millwatch.operators.silver import silver_from_bronze
-from millwatch.plans import medallion
+from millwatch.plans import increments, medallion
 from millwatch.sources import changes as change_feed
 from millwatch.sources import sample_tables as sample
 from millwatch.sources import buckets, sinks, tables, telemetry, versions
@@ -348,6 +350,46 @@ def gold_versioned_refresh(spark, sf_dir):
     return versions.read_version(spark, table)
 
 
+@query(*DAY_AVERAGES)
+def gold_merged_states(spark, sf_dir):
+    """Gold of states that three batches were merged into, one of them twice, one day withdrawn."""
+    table, silver = scratch(spark, "states"), sample.silver(spark, sf_dir)
+    third = F.minute("event_timestamp") % 3
+    for batch in (0, 1, 1, 2):
+        increments.merge_readings(spark, silver.filter(third == batch), table, batch)
+    faulty = (F.col("event_date") == "2024-01-05") | (F.col("event_hour") == 7) & (F.col("plant_id") == "PLANT_DE_02")
+    touched = incremental.touched_days(silver.filter(faulty))
+    increments.withdraw_readings(spark, silver.filter(~faulty), touched, table)
+    return increments.stored_gold(spark, table)
+
+
+@query(*DAY_AVERAGES)
+def incremental_run(spark, sf_dir):
+    """Gold after three refreshes, each of which finds new files with readings of any day."""
+    base = scratch(spark, "increments")
+    raw = sample.raw_telemetry(spark, sf_dir).select(*schemas.RAW_TELEMETRY_COLUMNS)
+    landing = F.pmod(F.xxhash64("machine_id", "event_timestamp"), F.lit(3))
+    for k in range(3):
+        rows = raw.filter(landing == k)
+        sinks.write_json_lines(rows, f"{base}/landing/{k}")
+        increments.refresh(spark, f"{base}/landing/*", base)
+    return increments.stored_gold(spark, increments.Increments(base).states)
+
+
+@query()
+def machines_seen_sketched(spark, sf_dir):
+    """Machines seen per plant and week: exact count, and whether united daily sketches agree."""
+    table, silver = scratch(spark, "sketches"), sample.silver(spark, sf_dir)
+    versions.commit(sketches.machine_sketches(silver), table, ["plant_id"])
+    week = F.date_trunc("week", "event_date").cast("date").alias("week")
+    daily = versions.read_version(spark, table).select("*", week)
+    seen = sketches.united(daily, ["plant_id", "week"])
+    exact = silver.groupBy("plant_id", week).agg(F.countDistinct("machine_id").alias("machines"))
+    return exact.join(seen, ["plant_id", "week"], "full_outer").select(
+        "plant_id", "week", "machines", sketches.agrees("machines_seen", "machines").alias("sketch_agrees")
+    )
+
+
 @query("risk_score_sum")
 def versions_survive_failure(spark, sf_dir):
     """What readers see after a write that failed half way, and after the next one."""
@@ -548,6 +590,37 @@ def frame_differences(spark, sf_dir):
     return quality.frame_differences(resent, sample.bronze(spark, sf_dir).select(*columns))
 
 
+def _tampered_silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Silver, and the same with a plant's hour lost, a day doubled and a reading nudged."""
+    silver = sample.silver(spark, sf_dir).drop(*LOAD_TIMES)
+    day, hour = F.col("event_date"), F.col("event_hour")
+    lost = (F.col("plant_id") == "PLANT_CN_03") & (day == "2024-01-04") & (hour == 9)
+    nudged = (F.col("plant_id") == "PLANT_US_05") & (day == "2024-01-09") & (hour == 3)
+    warmer = F.col("temperature_celsius") + F.when(nudged, 1).otherwise(0)
+    doubled = silver.filter((F.col("plant_id") == "PLANT_MX_01") & (day == "2024-01-02"))
+    other = silver.filter(~lost).withColumn("temperature_celsius", warmer)
+    return silver, other.unionByName(doubled)
+
+
+@query()
+def fingerprint_parts(spark, sf_dir):
+    """Plant-days whose fingerprints differ, those of one side read from where they were stored."""
+    silver, other = _tampered_silver(spark, sf_dir)
+    table = scratch(spark, "fingerprints")
+    versions.commit(fingerprints.fingerprints(silver, schemas.PLANT_DAY), table)
+    stored = versions.read_version(spark, table)
+    now = fingerprints.fingerprints(other, schemas.PLANT_DAY, silver.columns)
+    return fingerprints.differing_parts(stored, now, schemas.PLANT_DAY)
+
+
+@query()
+def fingerprint_drilldown(spark, sf_dir):
+    """The rows in which both differ, found by parts, buckets and rows."""
+    rows = fingerprints.row_differences(*_tampered_silver(spark, sf_dir), schemas.PLANT_DAY)
+    keys = ("plant_id", "machine_id", "event_timestamp", "temperature_celsius")
+    return rows.groupBy(*keys).agg(F.sum("surplus_left").alias("surplus_left"))
+
+
 # Change data and history
 
 

@@ -46,6 +46,7 @@ class Manifest:
     keys: list[str] = field(default_factory=list)
     parts: list[Part] = field(default_factory=list)
     committed_ms: int = 0
+    batch: int | None = None
 
     @property
     def schema(self) -> StructType:
@@ -160,13 +161,15 @@ def commit(
     only_touched: bool = False,
     gone: Iterable[str] = (),
     expected: int | None = None,
+    batch: int | None = None,
 ) -> int:
     """Write the rows as the next version and return its number.
 
     With ``only_touched`` the partitions that ``df`` holds replace those of the version before,
     those named by ``gone`` are left out, and all others are taken over without being read. With
     ``expected`` the write is refused before it begins unless that version is the newest; in any
-    case it is refused at the end if another writer took the number.
+    case it is refused at the end if another writer took the number. ``batch`` is kept in the
+    manifest, and in those after it until another one is given: it becomes visible with the rows.
     """
     spark, files = df.sparkSession, _Files(df.sparkSession, table)
     before = manifest(spark, table)
@@ -196,7 +199,9 @@ def commit(
     layout = StructType.fromJson(json.loads(df.schema.json()))
     for column in layout:
         column.nullable = True
-    new = Manifest(number, layout.json(), list(keys), parts, int(time.time() * 1000))
+    if batch is None and before:
+        batch = before.batch
+    new = Manifest(number, layout.json(), list(keys), parts, int(time.time() * 1000), batch)
     if not files.publish(json.dumps(asdict(new)), COMMITS, f"{number:012d}.json"):
         raise StaleVersion(f"another writer committed version {number} of {table}")
     return number

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,12 +31,14 @@ def stream_silver(
     run_id: str = "stream",
     limits: SensorLimits = LIMITS,
     once: bool = True,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Gate, split and write both tables from one pass over each batch.
 
     Silver is partitioned by plant and day first, so readers prune as on the
     batch table; the batch comes last and makes a repeated batch replace its
     own files. Late readings are kept here whatever aggregates do with them.
+    ``then`` is called with the silver rows of each batch once they are written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -43,6 +47,8 @@ def stream_silver(
             silver = silver_from_bronze(rows, limits)
             _write_batch(rebalanced(silver, schemas.PLANT_DAY), silver_path, schemas.PLANT_DAY)
             _write_batch(rebalanced(quarantine_all(rows, limits)), quarantine_path, ())
+            if then:
+                then(silver, batch_id)
         finally:
             rows.unpersist()
 
