@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch import schemas
@@ -97,3 +97,38 @@ def with_missing_days(gold: DataFrame, first_day=None, last_day=None) -> DataFra
         "risk_score",
         F.col("total_readings_24h").isNull().alias("is_silent"),
     )
+
+
+def silent_spells(gold: DataFrame, first_day=None, last_day=None) -> DataFrame:
+    """Runs of days without readings, one row each, of every machine.
+
+    By default a machine's own first and last day bound it, so a single stray date makes one row
+    and not a row per day and machine. Given days bound all machines alike and add what is silent
+    before a machine's first or after its last reading. NULL dates are left out.
+    """
+    first, last = (F.lit(d).cast("date") for d in (first_day, last_day))
+    in_order = Window.partitionBy("machine_id", "plant_id").orderBy("event_date")
+    seen = gold.filter(F.col("event_date").isNotNull()).select(
+        *schemas.MACHINE_DAY,
+        F.lag("event_date").over(in_order).alias("__before"),
+        F.lead("event_date").over(in_order).alias("__after"),
+    )
+    day = F.col("event_date")
+    after = F.struct(
+        F.date_add(day, 1).alias("a"), F.coalesce(F.date_sub("__after", 1), last).alias("b")
+    )
+    ahead = F.when(F.col("__before").isNull(), F.struct(first.alias("a"), F.date_sub(day, 1).alias("b")))
+    spells = seen.withColumn("__spell", F.explode(F.array(after, ahead))).select(
+        "machine_id",
+        "plant_id",
+        F.when(F.col("__spell.a").isNotNull(), F.greatest("__spell.a", first)).alias("silent_from"),
+        F.when(F.col("__spell.b").isNotNull(), F.least("__spell.b", last)).alias("silent_to"),
+    )
+    length = F.datediff("silent_to", "silent_from").cast("bigint") + 1
+    return spells.withColumn("silent_days", length).filter(F.col("silent_days") > 0)
+
+
+def silent_dates(spells: DataFrame) -> DataFrame:
+    """The days of these spells, one row each; narrow the spells first."""
+    days = F.explode(F.sequence("silent_from", "silent_to")).alias("event_date")
+    return spells.select("machine_id", "plant_id", days)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,19 @@ def domain_violations(df: DataFrame, column: str, allowed: Sequence[str]) -> Dat
     return df.filter(~F.col(column).isin(*allowed))
 
 
+def check_domains(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Failing rows, once per column whose value is not allowed, with the rule's name and the value.
+
+    All columns are checked in one pass. NULL is a matter for the not-null check.
+    """
+    found = [
+        F.when(~F.col(c).isin(*allowed), F.struct(F.lit(f"domain:{c}").alias("rule"), F.col(c).alias("value")))
+        for c, allowed in domains.items()
+    ]
+    failing = F.filter(F.array(*found), lambda f: f.isNotNull())
+    return df.withColumn("__found", F.explode(failing)).select(*df.columns, "__found.rule", "__found.value")
+
+
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Failing rows, once per missing column, with the rule's name."""
     missing = [

@@ -304,6 +304,17 @@ def _not_null(columns: tuple[str, ...]) -> str:
 
 
 REJECTED = f"NOT coalesce({GATE}, false)"
+FAULTY = f"""{RESENT}, placed AS (SELECT *,
+    CASE WHEN NOT coalesce({GATE}, false) THEN 0
+      WHEN plant_id = 'PLANT_CN_03' AND event_date = DATE '2024-01-04' AND hour(event_timestamp) = 9 THEN 0
+      WHEN plant_id = 'PLANT_MX_01' AND event_date = DATE '2024-01-02' THEN 2 ELSE 1 END AS in_silver,
+    CASE WHEN coalesce({GATE}, false) OR event_date IS NOT DISTINCT FROM DATE '2024-01-07'
+      THEN 0 ELSE 1 END AS in_quarantine
+    FROM readings)"""
+WITHOUT_RESENDS = f"""{RESENT} SELECT machine_id, plant_id,
+      {_time("event_timestamp")}, {SENSORS} FROM (SELECT *, row_number() OVER (
+        PARTITION BY machine_id, event_timestamp ORDER BY event_id) AS copy FROM readings)
+      WHERE copy = 1 OR machine_id IS NULL OR event_timestamp IS NULL"""
 WATERMARK = "(SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM {0})"
 
 ORACLE_SQL: dict[str, str] = {
@@ -407,6 +418,20 @@ ORACLE_SQL: dict[str, str] = {
         coalesce(g.total_readings_24h, 0) AS total_readings_24h, g.risk_score,
         g.total_readings_24h IS NULL AS is_silent
       FROM spine s LEFT JOIN gold g USING (machine_id, plant_id, event_date)""",
+    "silent_spells": f"""{GOLD}, silent AS (SELECT *, event_date - CAST(row_number() OVER (
+          PARTITION BY machine_id, plant_id ORDER BY event_date) AS INT) AS island
+        FROM (SELECT machine_id, plant_id, CAST(day AS DATE) AS event_date
+          FROM (SELECT DISTINCT machine_id, plant_id FROM gold),
+            (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-02-15', INTERVAL 1 DAY)) AS day))
+        ANTI JOIN gold USING (machine_id, plant_id, event_date))
+      SELECT machine_id, plant_id, strftime(min(event_date), '%Y-%m-%d') AS silent_from,
+        strftime(max(event_date), '%Y-%m-%d') AS silent_to, count(*) AS silent_days
+      FROM silent GROUP BY machine_id, plant_id, island""",
+    "silent_dates": f"""{GOLD}, spine AS (SELECT machine_id, plant_id, CAST(unnest(generate_series(
+          DATE '2024-01-01', DATE '2024-02-15', INTERVAL 1 DAY)) AS DATE) AS event_date
+        FROM (SELECT DISTINCT machine_id, plant_id FROM gold WHERE plant_id = 'PLANT_DE_02'))
+      SELECT machine_id, plant_id, {_date("event_date")}
+      FROM (SELECT * FROM spine ANTI JOIN gold USING (machine_id, plant_id, event_date))""",
     # Dashboards
     "leaderboard_top10": f"{GOLD} {BOARD}",
     "leaderboard_top10_raw": f"""{GOLD}, best AS (SELECT * FROM gold {BY_RISK} LIMIT 10)
@@ -446,6 +471,17 @@ ORACLE_SQL: dict[str, str] = {
           count(CASE WHEN {GATE} THEN 1 END) AS silver_rows,
           count(CASE WHEN {REJECTED} THEN 1 END) AS quarantined_rows
         FROM readings GROUP BY plant_id, event_date)""",
+    "reconcile_written": f"""{FAULTY} SELECT plant_id, {_date("event_date")}, bronze_rows, silver_rows,
+        quarantined_rows, bronze_rows - silver_rows - quarantined_rows AS unaccounted_rows
+      FROM (SELECT plant_id, event_date, count(*) AS bronze_rows,
+          CAST(sum(in_silver) AS BIGINT) AS silver_rows,
+          CAST(sum(in_quarantine) AS BIGINT) AS quarantined_rows
+        FROM placed GROUP BY plant_id, event_date)
+      WHERE bronze_rows <> silver_rows + quarantined_rows""",
+    "reconcile_written_rows": f"""{FAULTY} SELECT plant_id, machine_id, {_time("event_timestamp")},
+        temperature_celsius, CAST(sum(1 - in_silver - in_quarantine) AS BIGINT) AS surplus_left
+      FROM placed WHERE in_silver + in_quarantine <> 1
+      GROUP BY plant_id, machine_id, placed.event_timestamp, temperature_celsius""",
     "dq_not_null": f"""{READINGS} {_not_null(("machine_id", "plant_id", "temperature_celsius",
                                              "vibration_hz", "pressure_bar"))}""",
     "dq_unique": f"""{RESENT}, keys AS (SELECT machine_id, event_timestamp,
@@ -455,6 +491,11 @@ ORACLE_SQL: dict[str, str] = {
     "dq_accepted_values": f"""WITH {FEED} SELECT machine_id, machine_type, lsn FROM feed
       WHERE op <> 'd' AND machine_type NOT IN
         ('INJECTION_MOLDER', 'CRIMPING_PRESS', 'ASSEMBLY_ROBOT')""",
+    "dq_domains": f"""{READINGS}, {INVENTORY}, failing AS (
+        SELECT 'domain:operational_status' AS rule, lower(operational_status) AS value FROM readings
+          WHERE minute(event_timestamp) = 13 AND operational_status IS NOT NULL
+        UNION ALL SELECT 'domain:transit_status', 'LOST' FROM inventory WHERE stock_level % 50 = 0)
+      SELECT rule, value, count(*) AS failures FROM failing GROUP BY rule, value""",
     "dq_failures_stored": f"""{READINGS}, {INVENTORY}, {SUPPLIERS}, failing AS (
         SELECT 'not_null:machine_id' AS rule FROM readings WHERE machine_id IS NULL
         UNION ALL SELECT 'not_null:vibration_hz' FROM readings WHERE vibration_hz IS NULL
@@ -576,10 +617,8 @@ ORACLE_SQL: dict[str, str] = {
     # Streams: appended windows are those the watermark has closed
     "stream_silver_written": f"{SILVER} SELECT {SILVER_OUT} FROM silver",
     "stream_quarantine_written": f"{READINGS} SELECT {BRONZE_OUT} FROM readings WHERE {REJECTED}",
-    "stream_resends_dropped": f"""{RESENT} SELECT machine_id, plant_id,
-      {_time("event_timestamp")}, {SENSORS} FROM (SELECT *, row_number() OVER (
-        PARTITION BY machine_id, event_timestamp ORDER BY event_id) AS copy FROM readings)
-      WHERE copy = 1 OR machine_id IS NULL OR event_timestamp IS NULL""",
+    "stream_resends_dropped": WITHOUT_RESENDS,
+    "stream_resends_days_later": WITHOUT_RESENDS,
     "stream_json_landing": f"{READINGS} SELECT {BRONZE_OUT} FROM readings",
     "daily_window": f"{GOLD} SELECT {GOLD_OUT} FROM gold",
     "stream_late_completed": f"{GOLD} SELECT {GOLD_OUT} FROM gold",

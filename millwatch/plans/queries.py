@@ -27,6 +27,7 @@ from millwatch.operators import (
     gold,
     incremental,
     quality,
+    reconciliation,
     reference,
     serving,
     sessions,
@@ -42,6 +43,7 @@ from millwatch.sources.session import shared_folder
 from millwatch.sources.tables import read_path
 from millwatch.streaming import late as stream_late
 from millwatch.streaming import risk as stream_risk
+from millwatch.streaming import seen as stream_seen
 from millwatch.streaming import silver as stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,6 +428,19 @@ def missing_days(spark, sf_dir):
     return gold.with_missing_days(_gold(spark, sf_dir))
 
 
+@query()
+def silent_spells(spark, sf_dir):
+    """Spells without readings from New Year to the middle of February."""
+    return gold.silent_spells(_gold(spark, sf_dir), "2024-01-01", "2024-02-15")
+
+
+@query()
+def silent_dates(spark, sf_dir):
+    """The days of these spells, for one plant."""
+    spells = gold.silent_spells(_gold(spark, sf_dir), "2024-01-01", "2024-02-15")
+    return gold.silent_dates(spells.filter(F.col("plant_id") == "PLANT_DE_02"))
+
+
 # Dashboards
 
 
@@ -533,6 +548,39 @@ def reconcile(spark, sf_dir):
     return quality.reconcile(bronze, valid, rejected)
 
 
+def _written_with_faults(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Bronze, silver and quarantine as written, a plant's hour lost from silver, a plant-day of it
+    written twice, and the quarantine of one day lost."""
+    bronze = sample.resent_bronze(spark, sf_dir)
+    day, hour = F.col("event_date"), F.hour("event_timestamp")
+    lost = (F.col("plant_id") == "PLANT_CN_03") & (day == "2024-01-04") & (hour == 9)
+    twice = (F.col("plant_id") == "PLANT_MX_01") & (day == "2024-01-02")
+    silver = silver_from_bronze(bronze)
+    written = {
+        "bronze": bronze,
+        "silver": silver.filter(~lost).unionByName(silver.filter(twice)),
+        "quarantine": quality.quarantine_all(bronze).filter(~day.eqNullSafe(F.lit("2024-01-07").cast("date"))),
+    }
+    tables_ = {name: scratch(spark, f"reconciled-{name}") for name in written}
+    for name, rows in written.items():
+        versions.commit(rows, tables_[name])
+    return [versions.read_version(spark, table) for table in tables_.values()]
+
+
+@query()
+def reconcile_written(spark, sf_dir):
+    """Plant-days of written tables whose rows don't add up."""
+    return reconciliation.unaccounted_days(*_written_with_faults(spark, sf_dir))
+
+
+@query()
+def reconcile_written_rows(spark, sf_dir):
+    """The lost and doubled rows themselves."""
+    rows = reconciliation.unaccounted_rows(*_written_with_faults(spark, sf_dir))
+    keys = ("plant_id", "machine_id", "event_timestamp", "temperature_celsius")
+    return rows.groupBy(*keys).agg(F.sum("surplus_left").alias("surplus_left"))
+
+
 @query()
 def dq_not_null(spark, sf_dir):
     bronze = sample.bronze(spark, sf_dir)
@@ -557,6 +605,22 @@ def dq_accepted_values(spark, sf_dir):
     return bad.select("machine_id", "machine_type", "lsn")
 
 
+@query()
+def dq_domains(spark, sf_dir):
+    """States outside their domains, counted: some machines write them in lower case, and stocks
+    of a multiple of fifty are marked as lost."""
+    status = F.col("operational_status")
+    odd = F.when(F.minute("event_timestamp") == 13, F.lower(status)).otherwise(status)
+    readings = sample.bronze(spark, sf_dir).withColumn("operational_status", odd)
+    transit = F.when(F.col("stock_level") % 50 == 0, "LOST").otherwise(F.col("transit_status"))
+    levels = sample.inventory_levels(spark, sf_dir).withColumn("transit_status", transit)
+    failing = [
+        quality.check_domains(rows, domains).select("rule", "value")
+        for rows, domains in ((readings, schemas.TELEMETRY_DOMAINS), (levels, schemas.INVENTORY_DOMAINS))
+    ]
+    return failing[0].union(failing[1]).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("failures"))
+
+
 @query()
 def dq_failures_stored(spark, sf_dir):
     """Failures of two checks stored together, counted per rule."""
@@ -814,6 +878,23 @@ def stream_resends_dropped(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows")
 
 
+@query()
+def stream_resends_days_later(spark, sf_dir):
+    """Each purchase is sent again ten days later, in a later file; the stream starts anew for each."""
+    base, events = scratch(spark, "seen"), sample.events(spark, sf_dir)
+    readings = sample.telemetry_of(events)
+    again = sample.telemetry_of(events.filter(F.col("event_type") == "purchase"))
+    part = F.floor(F.datediff("event_timestamp", F.lit("2024-01-01")) / 10)
+    part = F.least(F.greatest(part, F.lit(0)), F.lit(2))
+    for k in range(4):
+        file = readings.filter(F.coalesce(part, F.lit(0)) == k)
+        file = file.unionByName(again.filter(F.coalesce(part, F.lit(0)) == k - 1))
+        file.write.mode("append").parquet(f"{base}/landing")
+        landed = spark.readStream.schema(readings.schema).parquet(f"{base}/landing")
+        _finish(stream_seen.stream_first_readings(landed, base, f"{base}/checkpoint"))
+    return stream_seen.first_readings(spark, base, readings)
+
+
 @query()
 def stream_machine_enrich(spark, sf_dir):
     base = scratch(spark, "enrich")

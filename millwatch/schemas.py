@@ -57,6 +57,9 @@ REFERENCE_TABLES = {
 OPERATIONAL_STATUSES = ("RUNNING", "IDLE", "FAULT", "MAINTENANCE")
 TRANSIT_STATUSES = ("IN_TRANSIT", "AT_WAREHOUSE", "DELIVERED", "DELAYED")
 
+TELEMETRY_DOMAINS = {"operational_status": OPERATIONAL_STATUSES}
+INVENTORY_DOMAINS = {"transit_status": TRANSIT_STATUSES}
+
 # What an absent optional field means.
 TELEMETRY_DEFAULTS = {"rpm": 0.0, "power_consumption_kw": 0.0}
 INVENTORY_DEFAULTS = {
