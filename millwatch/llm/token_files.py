@@ -32,35 +32,43 @@ _HEADER = struct.Struct("<8sQQQQ")  # magic, documents, tokens, distinct ids, by
 #: A task starts a new file beyond this many ids: bounds the memory of writing and reading.
 FILE_TOKENS = 2_000_000
 
-#: _LENGTHS[control byte] are the byte counts of its four places.
-_LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
+#: _LENGTHS[control byte] has the byte counts of its four places, one in each of its bytes.
+_LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8).view("<u4").ravel()
 
 #: Ids below this are counted in a table.
 _COUNTED = 1 << 22
-_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def encode_places(places: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and place bytes of unsigned 32-bit numbers."""
     n = len(places)
-    octets = np.zeros((n, 4), np.uint8)
-    octets[:] = places.astype("<u4").view(np.uint8).reshape(n, 4)
-    code = (places > 0xFF).astype(np.uint8) + (places > 0xFFFF) + (places > 0xFFFFFF)
+    code = (places > 0xFF).astype(np.uint8)
+    if places.max(initial=0) > 0xFFFF:
+        code += (places > 0xFFFF).astype(np.uint8) + (places > 0xFFFFFF)
     padded = np.zeros(-(-n // 4) * 4, np.uint8)
     padded[:n] = code
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    used = np.arange(4)[None, :] <= code[:, None]
-    return control.tobytes(), octets[used].tobytes()
+    four = padded.view("<u4")  # the codes of a control byte, two bits each, are in one number
+    control = four | four >> np.uint32(6) | four >> np.uint32(12) | four >> np.uint32(18)
+    starts = np.cumsum(code, dtype=np.int64)
+    data = np.empty(n + (int(starts[-1]) if n else 0), np.uint8)
+    starts += np.arange(n)
+    starts -= code
+    data[starts] = places.astype(np.uint8)
+    for k in range(1, int(code.max(initial=0)) + 1):
+        longer = np.flatnonzero(code >= k)
+        data[starts[longer] + k] = (places[longer] >> np.uint32(8 * k)).astype(np.uint8)
+    return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def decode_places(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    starts = np.cumsum(lengths) - lengths
-    octets = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    value = octets[starts]
+    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].view(np.uint8)[:n]
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    octets = np.frombuffer(data, np.uint8)
+    value = octets[starts].astype(np.uint32)
     for k in range(1, int(lengths.max(initial=1))):
-        value |= octets[starts + k] << np.uint32(8 * k)
-    return value & _MASKS[lengths]
+        longer = np.flatnonzero(lengths > k)
+        value[longer] |= octets[starts[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    return value
 
 
 @dataclass

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from itertools import accumulate
 from zlib import crc32
 
@@ -143,6 +144,44 @@ def test_places_round_trip(places):
     assert token_files.decode_places(control, data, len(places)).tolist() == places
 
 
+def test_places_are_coded_without_four_bytes_each():
+    """The bytes that a mask over all four bytes of each place gives, in far less time."""
+    places = np.minimum(np.random.default_rng(4).zipf(1.3, 500_000) - 1, 40_000).astype(np.uint32)
+    lengths_of = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
+    masks = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+
+    def plain_encode():
+        code = (places > 0xFF).astype(np.uint8) + (places > 0xFFFF) + (places > 0xFFFFFF)
+        control = (code.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
+        octets = places.astype("<u4").view(np.uint8).reshape(-1, 4)
+        return control.tobytes(), octets[np.arange(4)[None, :] <= code[:, None]].tobytes()
+
+    def plain_decode():
+        lengths = lengths_of[np.frombuffer(control, np.uint8)].ravel()
+        starts = np.cumsum(lengths) - lengths
+        octets = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
+        value = octets[starts]
+        for k in range(1, int(lengths.max())):
+            value |= octets[starts + k] << np.uint32(8 * k)
+        return value & masks[lengths]
+
+    def least_time(work):
+        def once():
+            began = time.process_time()
+            work()
+            return time.process_time() - began
+
+        return min(once() for _ in range(5))
+
+    control, data = token_files.encode_places(places)
+    assert (control, data) == plain_encode()
+    assert np.array_equal(token_files.decode_places(control, data, len(places)), plain_decode())
+    plain = least_time(plain_encode) + least_time(plain_decode)
+    quick = least_time(lambda: token_files.encode_places(places))
+    quick += least_time(lambda: token_files.decode_places(control, data, len(places)))
+    assert quick < 0.7 * plain
+
+
 def test_file_round_trip():
     tokens = np.array([5, 5, 5, 70000, 2, 5, 2], np.uint32)
     docs = token_files.Documents([None, -4, 9], np.array([0, 3, 4]), tokens)
